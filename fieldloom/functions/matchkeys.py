@@ -56,12 +56,10 @@ def one_letter_less(text: Column) -> Column:
     ).otherwise(F.array(text))
 
 
-def key_forms(field: Column, how: str) -> Column:
-    """Array of the forms under which a normal field is compared."""
+def part(field: Column, how: str) -> Column:
+    """The form of a normal field that two records must share."""
     if how == "exact":
-        return F.array(field)
-    if how == "near":
-        return one_letter_less(field)
+        return field
     if how.startswith("prefix"):
-        return F.array(F.left(field, F.lit(int(how[len("prefix"):]))))
+        return F.left(field, F.lit(int(how[len("prefix"):])))
     raise ValueError(f"unknown comparison: {how}")

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldloom import schemas
 from fieldloom.functions.text import fits
@@ -23,6 +23,8 @@ from fieldloom.plans import notes, people
 from fieldloom.session import stage_table
 from fieldloom.sources.sinks import Sink, append_or_create, keyed_layout
 
+_RUN_ID = StructField("run_id", StringType())
+
 
 @dataclass(frozen=True)
 class LogFormat:
@@ -92,11 +94,11 @@ class LoadLog:
             return self.spark.createDataFrame([], schema)
 
     def attempts(self) -> DataFrame:
-        return self._read("attempts", _with_run(self.format))
+        return self._read("attempts", StructType([*self.format.schema.fields, _RUN_ID]))
 
     def loaded(self) -> DataFrame:
         """Hashes known to be loaded, each at least once."""
-        return self._read("loaded", StructType.fromDDL(f"{self.format.hash_col} string, run_id string"))
+        return self._read("loaded", StructType([StructField(self.format.hash_col, StringType()), _RUN_ID]))
 
     def rows(self) -> DataFrame:
         """The log as one table: every attempt, with ``loaded`` as of now."""
@@ -116,10 +118,6 @@ class LoadLog:
         append_or_create(hashes.sortWithinPartitions(self.format.hash_col), f"{self.path}/loaded")
 
 
-def _with_run(format: LogFormat) -> StructType:  # noqa: A002
-    return StructType([*format.schema.fields, *StructType.fromDDL("run_id string").fields])
-
-
 @dataclass(frozen=True)
 class LoadResult:
     run_id: str

@@ -142,21 +142,20 @@ def rematch_universe(
     return rows.withColumn("chunk", chunk_of(F.col(config.key), chunks))
 
 
+def _rule_keys(number: int, rule: MatchRule, columns: Mapping[str, Column]) -> Column:
+    """Array of (score, key) of a record under one rule; a NULL key if a field is missing."""
+    mark = F.lit(matchkeys.SEPARATOR)
+    near = [f for f, how in rule.fields.items() if how == "near"]
+    parts = [matchkeys.part(columns[f], how) for f, how in rule.fields.items() if how != "near"]
+    keys = F.array(F.concat(F.lit(str(number)), *[x for p in parts for x in (mark, p)]))
+    for name in near:
+        forms = matchkeys.one_letter_less(columns[name])
+        keys = F.flatten(F.transform(keys, lambda k: F.transform(forms, lambda f: F.concat(k, mark, f))))  # noqa: B023
+    return F.transform(keys, lambda k: F.struct(F.lit(rule.score).alias("score"), k.alias("key")))
+
+
 def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
-    """Array of (score, key) of a record, over all rules; NULL keys for missing fields."""
-    keys = []
-    for number, rule in config.rules_in_use():
-        texts = F.array(F.lit(str(number)))
-        for name, how in rule.fields.items():
-            forms = matchkeys.key_forms(columns[name], how)
-            if how == "near":
-                texts = F.transform(forms, lambda f, t=texts: F.concat(t[0], F.lit(matchkeys.SEPARATOR), f))
-            else:
-                texts = F.transform(
-                    texts, lambda t, f=forms: F.concat(t, F.lit(matchkeys.SEPARATOR), f[0])
-                )
-        keys.append(F.transform(texts, lambda t, s=rule.score: F.struct(F.lit(s).alias("score"), t.alias("key"))))
-    return F.flatten(F.array(*keys))
+    return F.flatten(F.array(*[_rule_keys(number, rule, columns) for number, rule in config.rules_in_use()]))
 
 
 def _keyed(config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_col: str, name: str) -> DataFrame:

@@ -4,36 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_LONG, _INT, _TEXT, _FLAG, _TIME = (
+    T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType(), T.TimestampNTZType(),
+)
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-SURVEY_LOG = _schema(
-    "myv_van_id bigint, survey_question_id bigint, survey_response_id bigint, input_type_id bigint,"
-    " contact_type_id bigint, date_canvassed timestamp_ntz, contacttimestamp timestamp_ntz,"
-    " state_code string, sq_hash string, loaded boolean"
+
+SURVEY_LOG = struct(
+    myv_van_id=_LONG,
+    survey_question_id=_LONG,
+    survey_response_id=_LONG,
+    input_type_id=_LONG,
+    contact_type_id=_LONG,
+    date_canvassed=_TIME,
+    contacttimestamp=_TIME,
+    state_code=_TEXT,
+    sq_hash=_TEXT,
+    loaded=_FLAG,
 )
 
-PEOPLE_LOG = _schema(
-    "first_name string, middle_name string, last_name string, address_line_1 string, address_line_2 string,"
-    " city string, state_or_province string, email string, home_phone string, cell_phone string,"
-    " main_phone string, source_external_id string, person_hash string, loaded boolean"
+PEOPLE_LOG = struct(
+    first_name=_TEXT,
+    middle_name=_TEXT,
+    last_name=_TEXT,
+    address_line_1=_TEXT,
+    address_line_2=_TEXT,
+    city=_TEXT,
+    state_or_province=_TEXT,
+    email=_TEXT,
+    home_phone=_TEXT,
+    cell_phone=_TEXT,
+    main_phone=_TEXT,
+    source_external_id=_TEXT,
+    person_hash=_TEXT,
+    loaded=_FLAG,
 )
 
-NOTES_LOG = _schema(
-    "myc_van_id bigint, text string, is_view_restricted boolean, note_category_id int,"
-    " contacttimestamp timestamp_ntz, date_canvassed timestamp_ntz, state_code string,"
-    " note_hash string, loaded boolean"
+NOTES_LOG = struct(
+    myc_van_id=_LONG,
+    text=_TEXT,
+    is_view_restricted=_FLAG,
+    note_category_id=_INT,
+    contacttimestamp=_TIME,
+    date_canvassed=_TIME,
+    state_code=_TEXT,
+    note_hash=_TEXT,
+    loaded=_FLAG,
 )
 
-SCHEDULE = "struct<scheduled:boolean,scheduled_days:array<int>,scheduled_hours:array<int>>"
+SCHEDULE = struct(scheduled=_FLAG, scheduled_days=T.ArrayType(_INT), scheduled_hours=T.ArrayType(_INT))
 
-WORKFLOW = _schema(
-    f"id bigint, name string, state string, user struct<name:string>, schedule {SCHEDULE}, definition string"
-)
+RUN = struct(state=_TEXT, started_at=_TEXT, finished_at=_TEXT)
 
-JOB = _schema(
-    "id bigint, name string, type string, state string,"
-    f" runs array<struct<state:string,started_at:string,finished_at:string>>, schedule {SCHEDULE}"
+WORKFLOW = struct(
+    id=_LONG, name=_TEXT, state=_TEXT, user=struct(name=_TEXT), schedule=SCHEDULE, definition=_TEXT
 )
+
+JOB = struct(id=_LONG, name=_TEXT, type=_TEXT, state=_TEXT, runs=T.ArrayType(RUN), schedule=SCHEDULE)

@@ -26,11 +26,16 @@ def load_stream(
     """Take in what has arrived since the last start, batch by batch, and stop.
 
     ``view`` turns a batch of the stream into records; ``sink`` gives the sink of a
-    batch number, so that a replayed batch writes to the same place.
+    batch number, so that a replayed batch writes to the same place. It is not called
+    without records: a replay of a batch already loaded must not empty its export.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        load.run(view(batch), sink(number), f"{name}_{number}")
+        def export(df: DataFrame) -> None:
+            if not df.isEmpty():
+                sink(number)(df)
+
+        load.run(view(batch), export, f"{name}_{number}")
 
     return (
         stream.writeStream.queryName(name)
