@@ -463,8 +463,9 @@ sql(
     "chunk_assign",
     [],
     """SELECT c_custkey,
-              CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) AS BIGINT) % 3 + 1 AS INTEGER) AS chunk
-       FROM customer""",
+              CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) AS BIGINT) % chunks + 1 AS INTEGER) AS chunk
+       FROM customer,
+            (SELECT CAST(greatest(1, least(3, ceil(count(*) / 500.0))) AS BIGINT) AS chunks FROM customer) c""",
 )
 _CHUNK = "CAST(CAST('0x' || substr(md5(CAST(pk AS VARCHAR)), 1, 15) AS BIGINT) % 3 + 1 AS INTEGER)"
 sql(
@@ -718,6 +719,45 @@ sql(
     **_two_rounds("SELECT * FROM match_source", "SELECT -1"),
 )
 
+sql(
+    "match_run_plain",
+    ["match_source", "person_file"],
+    _merge("first_round"),
+    **_FIRST,
+    first_round=_best("a_cand", "match_source", extra=False),
+)
+
+
+def _again(day: str, universe: str) -> dict[str, str]:
+    """The first round of a later run."""
+    steps = {"universe_2": universe, **_candidates("universe_2", "c_")}
+    steps["third_round"] = _best("c_cand", "universe_2").replace(_DAY, day)
+    return steps
+
+
+sql(
+    "match_job",
+    ["match_source", "person_file"],
+    """SELECT * FROM (SELECT * FROM (SELECT * FROM published UNION ALL
+                      SELECT * FROM third_round UNION ALL SELECT * FROM fourth_round) x
+                      QUALIFY row_number() OVER (PARTITION BY pk
+                              ORDER BY score DESC, matched_date DESC, voterbase_id, person_id) = 1) y""",
+    **_two_rounds("SELECT * FROM match_source", "SELECT -1"),
+    published=_merge("first_round", "second_round"),
+    **_again(
+        "DATE '2024-03-01'",
+        """SELECT s.* FROM match_source s LEFT JOIN (SELECT pk, score FROM published) e ON s.pk = e.pk
+           WHERE e.score < 0.6 OR e.score IS NULL""",
+    ),
+    left_over_2="""SELECT * FROM universe_2 WHERE pk NOT IN (SELECT pk FROM third_round)
+                   AND pk NOT IN (SELECT pk FROM tidy)""",
+    names_2=_names("left_over_2"),
+    standard_2=_standard("left_over_2"),
+    tidy_2=_coalesced("left_over_2", "names_2", "standard_2"),
+    **_candidates("tidy_2", "d_"),
+    fourth_round=_best("d_cand", "tidy_2").replace(_DAY, "DATE '2024-03-01'"),
+)
+
 # --- audit -----------------------------------------------------------------------------------------
 
 _IDS = "list_transform(string_split(definition, 'job_id: ')[2:], lambda v: split_part(v, chr(10), 1))"

@@ -322,35 +322,44 @@ LOADED_BEFORE = "2024-01-12 00:00:00"
 TRIED_BEFORE = "2024-01-20 00:00:00"
 
 
-def _survey_log(spark, sf):
+def _survey_log(records):
     """The log after earlier runs: old records loaded, later ones tried, the rest unknown."""
     stamp = F.col("contacttimestamp")
-    tried = view_support(spark, sf).where(stamp < TRIED_BEFORE)
-    rows = load.survey_format().pending(tried)
     flag = F.when(stamp < LOADED_BEFORE, F.lit(True)).when(F.col("survey_response_id") % 2 == 0, F.lit(False))
-    return rows.withColumn("loaded", flag)
+    return load.survey_format().pending(records.where(stamp < TRIED_BEFORE)).withColumn("loaded", flag)
+
+
+def _log_and_new(spark, sf):
+    """The log, and the records that it does not know as loaded, as a run stages them."""
+    records = view_support(spark, sf)
+    log = _survey_log(records)
+    return log, session.stage_table(joins.without_loaded(records, log, "sq_hash"), "new")
 
 
 @query
 def load_survey_new(spark, sf):
-    return joins.without_loaded(view_support(spark, sf), _survey_log(spark, sf), "sq_hash")
+    records = view_support(spark, sf)
+    return joins.without_loaded(records, _survey_log(records), "sq_hash")
 
 
 @query
 def load_log_pending(spark, sf):
-    new = load_survey_new(spark, sf)
-    return sets.union_all([_survey_log(spark, sf), load.survey_format().pending(new)])
+    log, new = _log_and_new(spark, sf)
+    return sets.union_all([log, load.survey_format().pending(new)])
 
 
 @query
 def load_log_mark(spark, sf):
-    return joins.mark_loaded(load_log_pending(spark, sf), load_survey_new(spark, sf), "sq_hash")
+    log, new = _log_and_new(spark, sf)
+    pending = sets.union_all([log, load.survey_format().pending(new)])
+    return joins.mark_loaded(pending, new, "sq_hash")
 
 
 @query
 def load_semi_attempts(spark, sf):
     """Earlier failed attempts of the records that are about to be loaded."""
-    return joins.with_keys(_survey_log(spark, sf), "sq_hash", load_survey_new(spark, sf))
+    log, new = _log_and_new(spark, sf)
+    return joins.with_keys(log, "sq_hash", new)
 
 
 def _write_queues(spark, form):
@@ -544,8 +553,9 @@ def _match_inputs(spark, sf):
 @query
 def chunk_assign(spark, sf):
     customers = frame(spark, sf, "customer")
-    return customers.select("c_custkey", windows.chunk_of(F.col("c_custkey"), 3).alias("chunk")).where(
-        F.col("c_custkey").isNotNull()
+    chunks = windows.chunk_count(customers.count(), unit=100)
+    return customers.where(F.col("c_custkey").isNotNull()).select(
+        "c_custkey", windows.chunk_of(F.col("c_custkey"), chunks).alias("chunk")
     )
 
 
@@ -559,13 +569,22 @@ def rematch_universe(spark, sf):
 @query
 def match_candidates(spark, sf):
     source, person = _match_inputs(spark, sf)
-    return matching.match_candidates(MATCH, source, matching.person_index(MATCH, person))
+    return matching.match_candidates(MATCH, source, _index(person))
+
+
+def _index(person):
+    return session.stage_table(matching.person_index(MATCH, person), "person_index")
+
+
+def _found(spark, sf):
+    source, person = _match_inputs(spark, sf)
+    return matching.match_candidates(MATCH, source, _index(person), keep_unmatched=False)
 
 
 @query
 def match_best(spark, sf):
     source, person = _match_inputs(spark, sf)
-    return matching.best_match(MATCH, match_candidates(spark, sf), source, person, RUN_DATE)
+    return matching.best_match(MATCH, _found(spark, sf), source, person, RUN_DATE)
 
 
 @query
@@ -573,7 +592,7 @@ def match_best_plain(spark, sf):
     """Without the tie-out: score and cutoff alone decide."""
     source, person = _match_inputs(spark, sf)
     config = replace(MATCH, use_extra_match=False, cutoff_threshold=0.8)
-    return matching.best_match(config, match_candidates(spark, sf), source, person, RUN_DATE)
+    return matching.best_match(config, _found(spark, sf), source, person, RUN_DATE)
 
 
 @query
@@ -648,6 +667,22 @@ def match_run_first(spark, sf):
     return matching.match(MATCH, *_match_inputs(spark, sf), run_date=RUN_DATE).matches
 
 
+@query
+def match_run_plain(spark, sf):
+    """The whole job with cleaning and tie-out switched off: one round."""
+    config = replace(MATCH, enable_cleaning=False, use_extra_match=False)
+    return matching.match(config, *_match_inputs(spark, sf), run_date=RUN_DATE).matches
+
+
+@query
+def match_job(spark, sf):
+    """Two runs of the recurring job, the second over its own output; the published table."""
+    output, history = session.new_path(spark, "matched"), session.new_path(spark, "stage_cass")
+    source, person = _match_inputs(spark, sf)
+    matching.match_job(MATCH, source, person, output, history, RUN_DATE)
+    return matching.match_job(MATCH, source, person, output, history, date(2024, 3, 1))
+
+
 # --- audit ------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,8 +19,9 @@ from fieldloom import schemas
 from fieldloom.functions.text import fits
 from fieldloom.operators import joins
 from fieldloom.plans import notes, people
-from fieldloom.session import stage_table
+from fieldloom.session import Staging
 from fieldloom.sources.sinks import Sink, append_or_create, keyed_layout
+from fieldloom.sources.tables import scan_if_exists
 
 _RUN_ID = StructField("run_id", StringType())
 
@@ -86,12 +86,8 @@ class LoadLog:
         self.format = format
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        found = scan_if_exists(self.spark, f"{self.path}/{name}", schema)
+        return self.spark.createDataFrame([], schema) if found is None else found
 
     def attempts(self) -> DataFrame:
         return self._read("attempts", StructType([*self.format.schema.fields, _RUN_ID]))
@@ -137,8 +133,9 @@ class IncrementalLoad:
 
     def run(self, records: DataFrame, sink: Sink, run_id: str) -> LoadResult:
         format = self.log.format  # noqa: A001
-        staged = stage_table(self.log.new(records), f"new_{run_id}")
-        self.log.append_pending(staged, run_id)
-        sink(staged.select(*dict.fromkeys([*format.export_cols, format.state_col])))
-        self.log.append_loaded(staged, run_id)
-        return LoadResult(run_id, staged.count())
+        with Staging(self.log.spark, f"load_{run_id}") as staging:
+            new = staging.table(self.log.new(records), "new")
+            self.log.append_pending(new, run_id)
+            sink(new.select(*dict.fromkeys([*format.export_cols, format.state_col])))
+            self.log.append_loaded(new, run_id)
+            return LoadResult(run_id, new.count())

@@ -27,8 +27,9 @@ from fieldloom.functions.names import name_guesses
 from fieldloom.functions.text import fits, same_text
 from fieldloom.operators.joins import without_keys
 from fieldloom.operators.sets import union_all
-from fieldloom.operators.windows import best_per_key, chunk_count, chunk_of
-from fieldloom.session import stage_table
+from fieldloom.operators.windows import best_per_key, chunk_of
+from fieldloom.session import Staging
+from fieldloom.sources import sinks, tables
 
 FIELDS = [
     "primary_key", "first_name", "middle_name", "last_name", "phone", "email", "full_address", "unit", "city",
@@ -142,20 +143,27 @@ def rematch_universe(
     return rows.withColumn("chunk", chunk_of(F.col(config.key), chunks))
 
 
-def _rule_keys(number: int, rule: MatchRule, columns: Mapping[str, Column]) -> Column:
-    """Array of (score, key) of a record under one rule; a NULL key if a field is missing."""
+def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
+    """Array of (score, key) of a record, over all rules; NULL keys for missing fields."""
     mark = F.lit(matchkeys.SEPARATOR)
-    near = [f for f, how in rule.fields.items() if how == "near"]
-    parts = [matchkeys.part(columns[f], how) for f, how in rule.fields.items() if how != "near"]
-    keys = F.array(F.concat(F.lit(str(number)), *[x for p in parts for x in (mark, p)]))
-    for name in near:
-        forms = matchkeys.one_letter_less(columns[name])
-        keys = F.flatten(F.transform(keys, lambda k: F.transform(forms, lambda f: F.concat(k, mark, f))))  # noqa: B023
-    return F.transform(keys, lambda k: F.struct(F.lit(rule.score).alias("score"), k.alias("key")))
-
 
-def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
-    return F.flatten(F.array(*[_rule_keys(number, rule, columns) for number, rule in config.rules_in_use()]))
+    def scored(rule: MatchRule, key: Column) -> Column:
+        return F.struct(F.lit(rule.score).alias("score"), key.alias("key"))
+
+    single, several = [], []
+    for number, rule in config.rules_in_use():
+        near = [f for f, how in rule.fields.items() if how == "near"]
+        parts = [matchkeys.part(columns[f], how) for f, how in rule.fields.items() if how != "near"]
+        key = F.concat(F.lit(str(number)), *[x for p in parts for x in (mark, p)])
+        if not near:
+            single.append(scored(rule, key))
+            continue
+        keys = F.array(key)
+        for name in near:
+            forms = matchkeys.one_letter_less(columns[name])
+            keys = F.flatten(F.transform(keys, lambda k: F.transform(forms, lambda f: F.concat(k, mark, f))))  # noqa: B023
+        several.append(F.coalesce(F.transform(keys, lambda k: scored(rule, k)), F.array()))  # noqa: B023
+    return F.concat(F.array(*single), *several)
 
 
 def _keyed(config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_col: str, name: str) -> DataFrame:
@@ -171,16 +179,15 @@ def _keyed(config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_co
 def person_index(config: MatchConfig, people: DataFrame, id_col: str = "voterbase_id") -> DataFrame:
     """(key, matched_id): under each key the lowest ``matches_per_id`` person ids.
 
-    Written out, for both rounds read it; read back, it is a plain side of a join,
-    which the adaptive planner can pair with a split hot key on the source side.
+    Stage it before use: both rounds read it, and read back it is a plain side of a
+    join, which the adaptive planner can pair with a split hot key of the sources.
     """
-    columns = [c for c in dict.fromkeys([id_col, *(c for c in config.person.values() if c)])]
+    columns = dict.fromkeys([id_col, *(c for c in config.person.values() if c)])
     once = people.select(*columns).distinct()
     keyed = _keyed(config, once, config.person, id_col, "matched_id").select("key", "matched_id")
     # dense rank: an id listed twice under a key takes one place, not two
     rank = F.dense_rank().over(Window.partitionBy("key").orderBy("matched_id"))
-    lowest = keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id).drop("_rank")
-    return stage_table(lowest, "person_index")
+    return keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id).drop("_rank")
 
 
 def match_candidates(
@@ -334,10 +341,14 @@ def merge_matches(config: MatchConfig, *rounds: DataFrame | None) -> DataFrame:
 
 @dataclass(frozen=True)
 class MatchResult:
-    """``matches`` is the whole new output, ``cleaned`` what to append to the history."""
+    """``matches`` is the whole new output, ``cleaned`` what to append to the history.
+
+    Both read the stage tables of the run; drop those when both are written.
+    """
 
     matches: DataFrame
     cleaned: DataFrame | None
+    staging: Staging
 
 
 def match(
@@ -347,30 +358,54 @@ def match(
     previous: DataFrame | None = None,
     cleaned: DataFrame | None = None,
     run_date: date | None = None,
-    chunks: int | None = None,
 ) -> MatchResult:
-    """The whole job. Results read by several later steps are staged as tables.
+    """The whole job over one source. Results that several later steps read are staged.
 
-    Write ``matches`` with ``sinks.replace_table``: it may read the table it replaces.
+    Copies of a source row are reduced to one first. Cleaning runs on all rows at
+    once, partition by partition; it needs no chunks.
     """
+    staging = Staging(source.sparkSession, "match")
     mapped = mapped_columns(config, source).where(F.col(config.key).isNotNull()).distinct()
-    if chunks is None:
-        chunks = chunk_count(abs(source.count() - (0 if cleaned is None else cleaned.count())))
-    universe = stage_table(rematch_universe(config, mapped, previous, chunks).drop("score"), "stage_0_input")
-    index = person_index(config, people)
+    universe = staging.table(mapped_columns(config, rematch_universe(config, mapped, previous)), "stage_0_input")
+    index = staging.table(person_index(config, people), "person_index")
 
     def one_round(rows: DataFrame, name: str) -> DataFrame:
         found = match_candidates(config, rows, index, keep_unmatched=False)
-        return stage_table(best_match(config, found, rows, people, run_date), name)
+        return staging.table(best_match(config, found, rows, people, run_date), name)
 
     first = one_round(universe, "stage_2_fullmatch")
     if not config.enable_cleaning:
-        return MatchResult(merge_matches(config, first, previous), None)
+        return MatchResult(merge_matches(config, first, previous), None, staging)
 
-    left_over = cleaning_universe(config, universe, first, cleaned)
-    tidy = stage_table(
+    left_over = staging.table(cleaning_universe(config, universe, first, cleaned), "stage_3_rematch")
+    tidy = staging.table(
         coalesce_cleaned(config, standardise_addresses(config, left_over), infer_names(config, left_over)),
         "stage_5_coalesce",
     )
     second = one_round(tidy, "stage_7_fullmatch")
-    return MatchResult(merge_matches(config, first, second, previous), cleaning_history(tidy, run_date))
+    return MatchResult(merge_matches(config, first, second, previous), cleaning_history(tidy, run_date), staging)
+
+
+def match_job(
+    config: MatchConfig,
+    source: DataFrame,
+    people: DataFrame,
+    output: str,
+    history: str,
+    run_date: date | None = None,
+) -> DataFrame:
+    """One run of a recurring job: published matches at ``output``, cleaned rows at ``history``.
+
+    Either table may not exist yet. The output is written first: should the run end
+    between the two writes, the next one cleans and matches the same rows again.
+    """
+    spark = source.sparkSession
+    result = match(
+        config, source, people, tables.scan_if_exists(spark, output), tables.scan_if_exists(spark, history), run_date
+    )
+    with result.staging:
+        published = result.staging.table(result.matches, "all_matches")
+        written = sinks.write_keyed(published, output, config.key, mode="overwrite")
+        if result.cleaned is not None:
+            sinks.append_or_create(result.cleaned, history)
+        return written

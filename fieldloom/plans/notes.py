@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import codes
-from fieldloom.functions.hashing import hash_strict
+from fieldloom.functions.hashing import all_present, hash_strict
 from fieldloom.functions.zones import local_time
 from fieldloom.operators.windows import best_per_key
 
@@ -65,13 +65,14 @@ def notes_view(
         stamp.cast("timestamp_ntz").alias("contacttimestamp"),
     )
     notes = with_category(notes.where(F.col("state_code") == state) if state else notes, categories)
-    notes = notes.withColumn("note_hash", hash_strict(F.col("van_id"), F.col("text"), F.col("state_code"))).where(
-        F.col("note_hash").isNotNull()
-    )
+    hashed = [F.col(c) for c in ("van_id", "text", "state_code")]
+    notes = notes.where(all_present(*hashed))
+    if distinct and not dedupe_batch:
+        # before the hash, which follows from the columns compared
+        notes = notes.distinct()
+    notes = notes.withColumn("note_hash", hash_strict(*hashed))
     if dedupe_batch:
         notes = best_per_key(notes, ["note_hash"], [F.col("contacttimestamp").asc_nulls_last()])
-    elif distinct:
-        notes = notes.distinct()
     return notes.withColumn("date_canvassed", local_time(F.col("state_code"), F.col("contacttimestamp"))).select(RECORD)
 
 

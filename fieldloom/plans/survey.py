@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.functions import codes
-from fieldloom.functions.hashing import hash_strict
+from fieldloom.functions.hashing import all_present, hash_strict
 from fieldloom.functions.zones import local_time
 
 RECORD = [
@@ -69,11 +69,12 @@ def usable_contacts(contacts: DataFrame, spec: SurveySpec, state: str | None = N
 def survey_records(answered: DataFrame, spec: SurveySpec) -> DataFrame:
     """Hash and stamp rows that have ``van_id``, ``survey_response_id`` and the contact columns."""
     parts = ["van_id", "survey_question_id", "survey_response_id", "contact_type_id", "contacttimestamp", "state_code"]
+    parts = [F.col(p) for p in parts]
     return (
         answered.withColumn("survey_question_id", F.lit(spec.question_id))
         .withColumn("input_type_id", F.lit(codes.INPUT_TYPE_API))
-        .withColumn("sq_hash", hash_strict(*[F.col(p) for p in parts]))
-        .where(F.col("sq_hash").isNotNull())
+        .where(all_present(*parts))
+        .withColumn("sq_hash", hash_strict(*parts))
         .withColumn("date_canvassed", local_time(F.col("state_code"), F.col("contacttimestamp")))
         .select(RECORD)
     )

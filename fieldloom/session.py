@@ -60,6 +60,35 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     Used where a result is read more than once. Unlike a cached frame it outlives
     lost executors, and its lineage starts at the files.
     """
-    path = new_path(df.sparkSession, name)
+    return _write_stage(df, new_path(df.sparkSession, name))
+
+
+def _write_stage(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Stage tables of one run, dropped together when its results have been written.
+
+    As a context manager it drops them at the end, but keeps them after an error:
+    they may hold the only complete copy of what was being written.
+    """
+
+    def __init__(self, spark: SparkSession, run: str):
+        self.spark = spark
+        self.path = new_path(spark, run)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        return _write_stage(df, f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, error: type | None, *_: object) -> None:
+        if error is None:
+            self.drop()

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.session import stage_table
+from fieldloom.session import Staging
 
 Sink = Callable[[DataFrame], None]
 
@@ -32,13 +32,12 @@ def replace_table(df: DataFrame, path: str, *keys: str) -> DataFrame:
 
     The new rows are complete in the shared folder before the old ones go.
     """
-    staged = stage_table(df, "replacement")
-    return write_keyed(staged, path, *keys, mode="overwrite") if keys else _overwrite(staged, path)
-
-
-def _overwrite(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with Staging(df.sparkSession, "replacement") as staging:
+        staged = staging.table(df, "rows")
+        if keys:
+            return write_keyed(staged, path, *keys, mode="overwrite")
+        staged.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_or_create(df: DataFrame, path: str) -> None:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldloom import schemas
 
@@ -16,6 +18,17 @@ def scan(spark: SparkSession, source: str) -> DataFrame:
     return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
+def scan_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The parquet table at ``path``, or None if nothing was ever written there."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def query(spark: SparkSession, sql: str, **params: Any) -> DataFrame:
     """SQL with named parameters (``:name``, ``identifier(:name)``), never spliced text."""
     return spark.sql(sql, args=params)
