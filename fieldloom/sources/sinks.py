@@ -46,7 +46,7 @@ def append_or_create(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def with_queue_names(df: DataFrame, state_col: str, suffix: str) -> DataFrame:

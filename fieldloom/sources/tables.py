@@ -63,9 +63,10 @@ def filled_tables(spark: SparkSession, pattern: str, schema: str | None = None)
 
 def drop_if_exists(spark: SparkSession, *names: str) -> None:
     for name in names:
-        spark.sql("DROP VIEW IF EXISTS identifier(:name)", args={"name": name})
         if spark.catalog.tableExists(name):
-            spark.sql("DROP TABLE IF EXISTS identifier(:name)", args={"name": name})
+            table = spark.catalog.getTable(name)
+            kind = "VIEW" if table.isTemporary or table.tableType == "VIEW" else "TABLE"
+            spark.sql(f"DROP {kind} IF EXISTS identifier(:name)", args={"name": name})
 
 
 def read_workflows(spark: SparkSession, path: str) -> DataFrame:

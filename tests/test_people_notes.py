@@ -1,0 +1,135 @@
+"""People and notes views on hand-made rows."""
+
+from datetime import datetime
+
+import pytest
+
+from fieldloom.functions import codes
+from fieldloom.plans import notes, people
+
+C = codes.COMMITTEE_ID
+
+
+@pytest.fixture
+def tables(rows):
+    def make(signups=(("IL", 1, C),), persons=(("IL", 1, "a", "b", "c", 11, 21, 31),),
+             addresses=((11, C, 1, "IL", "1 x st", "cty", "NY", "10001"),),
+             emails=((21, C, 1, "IL", "Me@X.org", True),), phones=((31, C, 1, "IL", "555", False),)):
+        return (
+            rows("state_code string, myc_van_id bigint, created_by_committee_id bigint", *signups),
+            rows(
+                "state_code string, myc_van_id bigint, first_name string, middle_name string, last_name string,"
+                " contacts_address_id bigint, email_id bigint, phone_id bigint",
+                *persons,
+            ),
+            rows(
+                "contacts_address_id bigint, person_committee_id bigint, myc_van_id bigint, state_code string,"
+                " voting_address string, city string, state string, zip string",
+                *addresses,
+            ),
+            rows(
+                "contacts_email_id bigint, committee_id bigint, myc_van_id bigint, state_code string, email string,"
+                " is_preferred_email boolean",
+                *emails,
+            ),
+            rows(
+                "contacts_phone_id bigint, committee_id bigint, myc_van_id bigint, state_code string,"
+                " phone_number string, is_preferred_phone boolean",
+                *phones,
+            ),
+        )
+
+    return make
+
+
+def test_one_person(tables):
+    (r,) = people.people_view(*tables()).collect()
+    assert (r.email, r.main_phone, r.main_phone_is_preferred) == ("me@x.org", "555", False)
+    assert (r.state_or_province, r.source_external_id, r.home_phone) == ("NY", "IL-1", None)
+
+
+def test_many_signups_are_one_person(tables):
+    assert people.people_view(*tables(signups=[("IL", 1, C)] * 50)).count() == 1
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        dict(signups=[("IL", 1, 5)]),
+        dict(addresses=[(11, C, 1, "IL", "1 x st", "cty", "IL", "6")]),
+        dict(addresses=[(11, C, 1, "IL", "1 x st", "cty", None, "6")]),
+        dict(addresses=[(11, 5, 1, "IL", "1 x st", "cty", "NY", "6")]),
+        dict(addresses=[(12, C, 1, "IL", "1 x st", "cty", "NY", "6")]),
+        # someone at home has the email, under any committee and in any case
+        dict(emails=[(21, C, 1, "IL", "Me@X.org", True), (99, 5, 7, "NY", "mE@x.ORG", True)]),
+    ],
+)
+def test_left_out(tables, change):
+    assert people.people_view(*tables(**change)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        dict(emails=[(99, 5, 7, "NY", "other@x.org", True)]),
+        dict(emails=[(21, 5, 1, "IL", "Me@X.org", True), (99, 5, 7, "NY", "me@x.org", True)]),
+        dict(emails=[(21, C, 1, "IL", None, True), (99, 5, 7, "NY", None, True)]),
+        dict(emails=[(21, C, 1, "IL", "Me@X.org", True), (99, C, 7, "TX", "me@x.org", True)]),
+        dict(phones=[(31, 5, 1, "IL", "555", False)]),
+    ],
+)
+def test_kept(tables, change):
+    assert people.people_view(*tables(**change)).count() == 1
+
+
+def test_one_row_per_person_and_home_state(tables):
+    addresses = [(11, C, 1, "IL", f"{i} st", "cty", s, "1") for i in (2, 1) for s in ("NY", "TX")]
+    got = people.people_view(*tables(addresses=addresses)).collect()
+    assert sorted((r.state_or_province, r.address_line_1) for r in got) == [("NY", "1 st"), ("TX", "1 st")]
+    assert people.people_view(*tables(addresses=addresses), state="TX").count() == 1
+    assert people.people_view(*tables(addresses=addresses), max_records=1).count() == 2
+
+
+def test_limit_is_per_home_state_and_stable(tables):
+    n = 12
+    given = tables(
+        signups=[("IL", i, C) for i in range(n)],
+        persons=[("IL", i, "a", None, f"p{i}", 100 + i, 200 + i, 300 + i) for i in range(n)],
+        addresses=[(100 + i, C, i, "IL", "st", "c", "NY", "1") for i in range(n)],
+        emails=[(0, 0, 0, "", None, False)],
+        phones=[(0, 0, 0, "", None, False)],
+    )
+    hashes = sorted(r.person_hash for r in people.people_view(*given).collect())
+    assert sorted(r.person_hash for r in people.people_view(*given, max_records=5).collect()) == hashes[:5]
+
+
+T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
+
+
+@pytest.fixture
+def donors(rows):
+    donors = rows(
+        "actionkit_id bigint, occupation_clean string, employer_clean string, paidat timestamp_ntz",
+        (1, "baker", "self", T1), (1, "baker", "self", T1), (1, "baker", "self", T2), (2, "cook", None, T1),
+        (3, "nurse", "clinic", T1), (4, "poet", "none", T1),
+    )
+    crosswalk = rows(
+        "actionkit_id bigint, st_myc_van_id string", (1, "PA-71"), (2, "PA-72"), (3, "NY-73"), (4, "il-74")
+    )
+    return donors, crosswalk
+
+
+def test_donor_notes(donors):
+    got = notes.donor_notes(*donors).collect()
+    # a repeated payment goes out again with its own time; no category, no note; states are compared as they are
+    assert sorted((r.van_id, r.contacttimestamp, r.note_category_id) for r in got) == [("71", T1, 11), ("71", T2, 11)]
+    assert len({r.note_hash for r in got}) == 1
+    assert got[0].text == "Donor Occupation: baker\nEmployer: self"
+    (r,) = notes.donor_notes(*donors, dedupe_batch=True).collect()
+    assert r.contacttimestamp == T1 and r.date_canvassed == datetime(2023, 12, 31, 19)
+    assert notes.donor_notes(*donors, state="IL").count() == 0
+
+
+def test_category_table(spark):
+    rows = notes.category_table(spark).collect()
+    assert len(rows) == 16 and ("qb_notes", "SC", 4) in {tuple(r) for r in rows}
