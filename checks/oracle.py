@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from checks import queries
 from checks.inputs import with_inputs
 from fieldloom.functions import address, codes, zones
+from fieldloom.plans import people
 
 ORACLE: dict[str, str] = {}
 
@@ -201,63 +202,69 @@ sql(
     f"SELECT st_myc_van_id, support_response_text FROM joined_contact WHERE support_response_text IN ({_valid})",
 )
 
-_CHAIN = """contact c JOIN response r ON c.contactcontact_id = r.contactcontact_id
-            JOIN question q ON r.surveyquestionid = q.surveyquestionid
-            JOIN answer a ON r.surveyresponseid = a.surveyresponseid"""
 _CHAIN_INPUTS = ["contact", "response", "question", "answer"]
+_ANSWERED = """contact JOIN response USING (contactcontact_id) JOIN question USING (surveyquestionid)
+               JOIN answer USING (surveyresponseid)"""
 sql(
     "join_inner_chain",
     _CHAIN_INPUTS,
-    f"SELECT c.contactcontact_id, c.contacttype, q.surveyquestiontext, a.surveyresponsetext FROM {_CHAIN}",
+    f"SELECT contactcontact_id, contacttype, surveyquestiontext, surveyresponsetext FROM {_ANSWERED}",
 )
 
 
-def _record(inner: str) -> str:
-    return f"""
-        SELECT * FROM (
-            SELECT van_id, survey_question_id, survey_response_id, 11 AS input_type_id, contact_type_id,
-                   {_local('state_code', 'contacttimestamp')} AS date_canvassed, contacttimestamp, state_code,
-                   md5(van_id || survey_question_id || survey_response_id || contact_type_id
-                       || CAST(contacttimestamp AS VARCHAR) || state_code) AS sq_hash
-            FROM ({inner}) x) y
-        WHERE contact_type_id != 2 AND sq_hash IS NOT NULL"""
+def _values(table: Mapping[str, int], alias: str) -> str:
+    return "(VALUES " + ", ".join(f"({_quoted(k)}, {v})" for k, v in table.items()) + f") {alias}"
 
 
-def _survey(question: int, answers: Mapping[str, int], where: str) -> str:
-    return _record(f"""
-        SELECT split_part(c.st_myv_van_id, '-', 2) AS van_id, {question} AS survey_question_id,
-               {_case('a.surveyresponsetext', answers)} AS survey_response_id,
-               {_case('c.contacttype', codes.CONTACT_TYPES)} AS contact_type_id, c.contacttimestamp,
-               upper(split_part(c.st_myv_van_id, '-', 1)) AS state_code
-        FROM {_CHAIN} WHERE {where} AND c.st_myv_van_id IS NOT NULL""")
+def _records(question: int, rows: str, id_col: str, text: str, answers: Mapping[str, int], kinds: Mapping[str, int], where: str) -> str:
+    """Records by joining code tables; whatever has no code or no time stamp joins nothing."""
+    exported = {k: v for k, v in kinds.items() if v != 2}
+    return f"""
+        SELECT van_id, {question} AS survey_question_id, answer_code AS survey_response_id, 11 AS input_type_id,
+               kind_code AS contact_type_id, {_local('state_code', 'contacttimestamp')} AS date_canvassed,
+               contacttimestamp, state_code,
+               md5(concat(van_id, '{question}', answer_code, kind_code, contacttimestamp, state_code)) AS sq_hash
+        FROM (SELECT *, string_split({id_col}, '-')[2] AS van_id, upper(string_split({id_col}, '-')[1]) AS state_code
+              FROM {rows}) r
+        JOIN {_values(answers, 'known(answer_text, answer_code)')} ON {text} = answer_text
+        JOIN {_values(exported, 'kinds(kind, kind_code)')} ON contacttype = kind
+        WHERE {where} AND {id_col} IS NOT NULL AND contacttimestamp IS NOT NULL"""
+
+
+def _choice(question: int, text: str, answers: Mapping[str, int]) -> str:
+    asked = f"contains(lower(surveyquestiontext), '{text}')"
+    return _records(
+        question, _ANSWERED, "st_myv_van_id", "surveyresponsetext", answers, codes.CONTACT_TYPES, asked
+    )
 
 
-_FIRST_CHOICE = _survey(
-    349867, codes.FIRST_CHOICE_ANSWERS, "q.surveyquestiontext ILIKE '%Candidate Interest First Choice%'"
-)
-_SECOND_CHOICE = _survey(
-    349875, codes.SECOND_CHOICE_ANSWERS, "q.surveyquestiontext ILIKE '%Candidate Interest Second Choice%'"
-)
+_FIRST_CHOICE = _choice(349867, "candidate interest first choice", codes.FIRST_CHOICE_ANSWERS)
+_VOLUNTEER_ROWS = "contact JOIN response USING (contactcontact_id) JOIN answer USING (surveyresponseid)"
 sql("view_survey", _CHAIN_INPUTS, _FIRST_CHOICE)
-sql("view_survey_second", _CHAIN_INPUTS, _SECOND_CHOICE)
+sql(
+    "view_survey_second",
+    _CHAIN_INPUTS,
+    _choice(349875, "candidate interest second choice", codes.SECOND_CHOICE_ANSWERS),
+)
 sql(
     "view_volunteer",
     _CHAIN_INPUTS,
-    _survey(349878, codes.VOLUNTEER_ANSWERS, "a.surveyresponsetext LIKE 'Volunteer%'"),
+    _records(
+        349878, _VOLUNTEER_ROWS, "st_myv_van_id", "surveyresponsetext", codes.VOLUNTEER_ANSWERS, codes.CONTACT_TYPES, "true"
+    ),
 )
 
 
-def _support_record(id_col: str, where: str) -> str:
-    return _record(f"""
-        SELECT split_part({id_col}, '-', 2) AS van_id, 349811 AS survey_question_id, {_support} AS survey_response_id,
-               {_case('contacttype', codes.SUPPORT_CONTACT_TYPES)} AS contact_type_id, contacttimestamp,
-               upper(split_part({id_col}, '-', 1)) AS state_code
-        FROM joined_contact WHERE {where} AND support_response_text IN ({_valid})""")
+def _support_records(id_col: str, where: str) -> str:
+    return _records(
+        349811, "joined_contact", id_col, "support_response_text", codes.SUPPORT_ANSWERS,
+        codes.SUPPORT_CONTACT_TYPES, where,
+    )
 
 
-_SUPPORT_VIEW = _support_record("st_myv_van_id", "st_myv_van_id IS NOT NULL")
+_SUPPORT_VIEW = _support_records("st_myv_van_id", "true")
 sql("view_support", ["joined_contact"], _SUPPORT_VIEW)
-sql("view_myc_only", ["joined_contact"], _support_record("st_myc_van_id", "st_myv_van_id IS NULL"))
+sql("view_myc_only", ["joined_contact"], _support_records("st_myc_van_id", "st_myv_van_id IS NULL"))
 sql(
     "export_queue",
     _CHAIN_INPUTS,
@@ -276,7 +283,7 @@ _LOG = f"""SELECT {_LOG_COLUMNS},
                   CASE WHEN contacttimestamp < TIMESTAMP '{queries.LOADED_BEFORE}' THEN true
                        WHEN survey_response_id % 2 = 0 THEN false END AS loaded
            FROM records WHERE contacttimestamp < TIMESTAMP '{queries.TRIED_BEFORE}'"""
-_NEW = "SELECT * FROM records WHERE sq_hash NOT IN (SELECT sq_hash FROM log WHERE sq_hash IS NOT NULL AND loaded IS TRUE)"
+_NEW = "SELECT * FROM records ANTI JOIN (FROM log WHERE loaded) done USING (sq_hash)"
 _STEPS = {"records": _SUPPORT_VIEW, "log": _LOG, "fresh": _NEW}
 _PENDING = f"SELECT * FROM log UNION ALL SELECT {_LOG_COLUMNS}, false FROM fresh"
 
@@ -285,8 +292,8 @@ sql("load_log_pending", ["joined_contact"], _PENDING, **_STEPS)
 sql(
     "load_log_mark",
     ["joined_contact"],
-    """SELECT * REPLACE (CASE WHEN sq_hash IN (SELECT sq_hash FROM fresh WHERE sq_hash IS NOT NULL) THEN true
-                              ELSE loaded END AS loaded) FROM pending""",
+    """SELECT pending.* REPLACE (coalesce(done, loaded) AS loaded)
+       FROM pending LEFT JOIN (SELECT DISTINCT sq_hash, true AS done FROM fresh) marks USING (sq_hash)""",
     **_STEPS,
     pending=_PENDING,
 )
@@ -308,99 +315,82 @@ sql(
 
 # --- people ------------------------------------------------------------------------------------
 
-_LOCATED = """
-    signup es JOIN person_record myc ON es.state_code = myc.state_code AND es.myc_van_id = myc.myc_van_id
-    LEFT JOIN address ad ON myc.contacts_address_id = ad.contacts_address_id AND ad.person_committee_id = 73296
-         AND myc.state_code = ad.state_code AND myc.myc_van_id = ad.myc_van_id
-    LEFT JOIN email cem ON cem.committee_id = 73296 AND myc.state_code = cem.state_code
-         AND myc.myc_van_id = cem.myc_van_id AND myc.email_id = cem.contacts_email_id
-    LEFT JOIN phone cpm ON cpm.committee_id = 73296 AND myc.state_code = cpm.state_code
-         AND myc.myc_van_id = cpm.myc_van_id AND myc.phone_id = cpm.contacts_phone_id"""
 _PEOPLE = ["signup", "person_record", "address", "email", "phone"]
-_ONE_SIGNUP = "(SELECT DISTINCT state_code, myc_van_id FROM signup WHERE created_by_committee_id = 73296)"
-_ONCE = _LOCATED.replace("signup es", f"{_ONE_SIGNUP} es", 1)
+_LOCATED = {
+    "attending": "SELECT state_code, myc_van_id FROM signup WHERE created_by_committee_id = 73296 GROUP BY ALL",
+    "own_address": """SELECT state_code, myc_van_id, contacts_address_id, voting_address AS address_line_1, city,
+                             state AS state_or_province, zip AS zip_or_postal_code
+                      FROM address WHERE person_committee_id = 73296 AND state IS NOT NULL""",
+    "own_email": """SELECT state_code, myc_van_id, contacts_email_id AS email_id, lower(email) AS email,
+                           is_preferred_email AS email_is_preferred FROM email WHERE committee_id = 73296""",
+    "own_phone": """SELECT state_code, myc_van_id, contacts_phone_id AS phone_id, phone_number AS main_phone,
+                           is_preferred_phone AS main_phone_is_preferred FROM phone WHERE committee_id = 73296""",
+    "located": """FROM attending JOIN person_record USING (state_code, myc_van_id)
+                  JOIN own_address USING (state_code, myc_van_id, contacts_address_id)
+                  LEFT JOIN own_email USING (state_code, myc_van_id, email_id)
+                  LEFT JOIN own_phone USING (state_code, myc_van_id, phone_id)""",
+}
+_UNKNOWN = """NOT EXISTS (FROM email known WHERE lower(known.email) = located.email
+                          AND known.state_code = located.state_or_province)"""
 sql(
     "join_left_on_const",
     ["person_record", "email"],
-    """SELECT p.state_code, p.myc_van_id, e.email FROM person_record p LEFT JOIN email e
-       ON p.state_code = e.state_code AND p.myc_van_id = e.myc_van_id AND e.committee_id = 73296""",
+    """SELECT state_code, myc_van_id, own.email FROM person_record
+       LEFT JOIN (FROM email WHERE committee_id = 73296) own USING (state_code, myc_van_id)""",
 )
 sql(
     "join_theta_residual",
     _PEOPLE,
-    f"""SELECT es.state_code, ad.state AS state_or_province, es.myc_van_id, ad.voting_address AS address_line_1
-        FROM {_ONCE} WHERE es.state_code != ad.state""",
+    """SELECT state_code, state_or_province, myc_van_id, address_line_1 FROM located
+       WHERE state_code <> state_or_province""",
+    **_LOCATED,
 )
 sql(
     "anti_email_home",
     _PEOPLE,
-    f"""SELECT es.myc_van_id, lower(cem.email) AS email, ad.state AS state_or_province, ad.voting_address AS address_line_1
-        FROM {_ONCE} LEFT JOIN (SELECT DISTINCT lower(email) AS low, state_code FROM email) cem2
-             ON cem2.low = lower(cem.email) AND cem2.state_code = ad.state
-        WHERE ad.state IS NOT NULL AND cem2.low IS NULL""",
+    f"SELECT myc_van_id, email, state_or_province, address_line_1 FROM located WHERE {_UNKNOWN}",
+    **_LOCATED,
 )
 sql(
     "dedupe_person",
     ["address"],
-    """SELECT state_code, myc_van_id, state, voting_address, city, zip FROM (
-           SELECT *, row_number() OVER (PARTITION BY state_code, myc_van_id
-                     ORDER BY state NULLS LAST, voting_address NULLS LAST, city NULLS LAST, zip NULLS LAST) AS rn
-           FROM address) WHERE rn = 1""",
-)
-
-
-def _people(where: str = "true", tail: str = "") -> str:
-    nulls = [
-        "address_is_preferred", "email_is_subscribed", "email_subscription_status",
-        "home_phone", "home_phone_is_preferred", "home_phone_opt_in_status",
-        "cell_phone", "cell_phone_is_preferred", "cell_phone_opt_in_status",
-        "work_phone", "work_phone_is_preferred", "work_phone_opt_in_status", "main_phone_opt_in_status",
-        "fax_phone", "fax_phone_is_preferred", "fax_phone_opt_in_status",
-        "external_id", "external_id_type", "address_line_2", "custom_field_id",
-    ]
-    hashed = [
-        "first_name", "middle_name", "last_name", "address_line_1", "address_line_2", "city", "state_or_province",
-        "zip_or_postal_code", "email", "home_phone", "cell_phone", "work_phone", "main_phone", "fax_phone",
-        "source_external_id", "custom_field_id",
-    ]
-    digest = " || ".join(f"coalesce({c}, 'missing')" for c in hashed)
-    return f"""
-        SELECT * FROM (
-        SELECT DISTINCT * EXCLUDE (rn, sc, vid), md5({digest} || state_or_province) AS person_hash FROM (
-            SELECT *, row_number() OVER (PARTITION BY sc, vid, state_or_province ORDER BY address_line_1 NULLS LAST,
-                      city NULLS LAST, zip_or_postal_code NULLS LAST, email NULLS LAST, email_is_preferred NULLS LAST,
-                      main_phone NULLS LAST, main_phone_is_preferred NULLS LAST, first_name, middle_name, last_name) AS rn
-            FROM (
-                SELECT myc.first_name, myc.middle_name, myc.last_name, ad.voting_address AS address_line_1, ad.city,
-                       ad.state AS state_or_province, ad.zip AS zip_or_postal_code, lower(cem.email) AS email,
-                       cem.is_preferred_email AS email_is_preferred, cpm.phone_number AS main_phone,
-                       cpm.is_preferred_phone AS main_phone_is_preferred,
-                       es.state_code || '-' || es.myc_van_id AS source_external_id,
-                       {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in nulls)},
-                       myc.state_code AS sc, myc.myc_van_id AS vid
-                FROM {_LOCATED}
-                LEFT JOIN (SELECT DISTINCT lower(email) AS low, state_code, 1 AS hit FROM email) cem2
-                     ON cem2.low = lower(cem.email) AND cem2.state_code = ad.state
-                WHERE es.created_by_committee_id = 73296 AND es.state_code != ad.state AND {where} AND cem2.hit IS NULL
-            ) WHERE true
-        ) WHERE rn = 1) {tail}"""
-
-
-sql("people_oos", _PEOPLE, _people())
-sql("people_oos_state", _PEOPLE, _people("ad.state = 'NY'"))
+    """SELECT state_code, myc_van_id, state, voting_address, city, zip FROM address
+       QUALIFY row_number() OVER (PARTITION BY state_code, myc_van_id
+               ORDER BY state NULLS LAST, voting_address NULLS LAST, city NULLS LAST, zip NULLS LAST) = 1""",
+)
+_KNOWN_COLUMNS = [
+    "first_name", "middle_name", "last_name", "address_line_1", "city", "state_or_province", "zip_or_postal_code",
+    "email", "email_is_preferred", "main_phone", "main_phone_is_preferred",
+]
+_PEOPLE_STEPS = {
+    **_LOCATED,
+    "once": f"""SELECT *, concat(state_code, '-', myc_van_id) AS source_external_id
+        FROM (SELECT * FROM located WHERE state_code <> state_or_province AND {_UNKNOWN}) away
+        QUALIFY row_number() OVER (PARTITION BY state_code, myc_van_id, state_or_province ORDER BY
+            address_line_1 NULLS LAST, city NULLS LAST, zip_or_postal_code NULLS LAST, email NULLS LAST,
+            email_is_preferred NULLS LAST, main_phone NULLS LAST, main_phone_is_preferred NULLS LAST) = 1""",
+    "people": f"""SELECT {', '.join(_KNOWN_COLUMNS)}, source_external_id,
+        {', '.join(f'NULL::VARCHAR AS {c}' for c in people.EXPORT if c not in [*_KNOWN_COLUMNS, 'source_external_id'])},
+        md5(array_to_string(list_transform([first_name, middle_name, last_name, address_line_1, NULL, city,
+            state_or_province, zip_or_postal_code, email, NULL, NULL, NULL, main_phone, NULL, source_external_id, NULL],
+            lambda x: coalesce(x, 'missing')), '') || state_or_province) AS person_hash
+        FROM once""",
+}
+sql("people_oos", _PEOPLE, "FROM people", **_PEOPLE_STEPS)
+sql("people_oos_state", _PEOPLE, "FROM people WHERE state_or_province = 'NY'", **_PEOPLE_STEPS)
 sql(
     "people_oos_limit",
     _PEOPLE,
-    _people(
-        tail="QUALIFY row_number() OVER (PARTITION BY state_or_province ORDER BY person_hash, source_external_id) <= 5"
-    ),
+    """FROM people QUALIFY row_number() OVER (PARTITION BY state_or_province
+                                              ORDER BY person_hash, source_external_id) <= 5""",
+    **_PEOPLE_STEPS,
 )
 sql(
     "load_people_log",
     _PEOPLE,
     """SELECT first_name, middle_name, last_name, address_line_1, address_line_2, city, state_or_province, email,
               home_phone, cell_phone, main_phone, source_external_id, person_hash, true AS loaded FROM people""",
-    people=_people(),
+    **_PEOPLE_STEPS,
 )
 
 # --- notes ----------------------------------------------------------------------------------
@@ -408,23 +398,24 @@ sql(
 sql("distinct_rows", ["donor"], "SELECT DISTINCT actionkit_id, occupation_clean, employer_clean FROM donor")
 
 
-def _notes(inner: str) -> str:
+def _notes(rows: str, categories: Mapping[str, int]) -> str:
+    """Notes of (van_id, text, state_code, contacttimestamp) rows in states with a category."""
     return f"""
-        SELECT * FROM (
-            SELECT van_id, "text", is_view_restricted, note_category_id,
-                   {_local('state_code', 'contacttimestamp')} AS date_canvassed, contacttimestamp, state_code,
-                   md5(van_id || "text" || state_code) AS note_hash
-            FROM ({inner}) x) y
-        WHERE note_hash IS NOT NULL AND note_category_id IS NOT NULL"""
-
-
-_DONOR = _notes("""
-    SELECT DISTINCT split_part(x.st_myc_van_id, '-', 2) AS van_id,
-           'Donor Occupation: ' || d.occupation_clean || chr(10) || 'Employer: ' || d.employer_clean AS "text",
-           false AS is_view_restricted,
-           CASE split_part(x.st_myc_van_id, '-', 1) WHEN 'PA' THEN 11 WHEN 'IL' THEN 2 END AS note_category_id,
-           split_part(x.st_myc_van_id, '-', 1) AS state_code, d.paidat AS contacttimestamp
-    FROM donor d JOIN crosswalk x USING (actionkit_id)""")
+        SELECT van_id, "text", false AS is_view_restricted, note_category_id,
+               {_local('state_code', 'contacttimestamp')} AS date_canvassed, contacttimestamp, state_code,
+               md5(concat(van_id, "text", state_code)) AS note_hash
+        FROM ({rows}) n JOIN {_values(categories, 'k(category_state, note_category_id)')} ON state_code = category_state
+        WHERE van_id IS NOT NULL AND "text" IS NOT NULL"""
+
+
+_DONOR = _notes(
+    """SELECT string_split(st_myc_van_id, '-')[2] AS van_id, string_split(st_myc_van_id, '-')[1] AS state_code,
+              format(E'Donor Occupation: {}\\nEmployer: {}', occupation_clean, employer_clean) AS "text",
+              paidat AS contacttimestamp
+       FROM donor JOIN crosswalk USING (actionkit_id)
+       WHERE occupation_clean IS NOT NULL AND employer_clean IS NOT NULL GROUP BY ALL""",
+    {"IL": 2, "PA": 11},
+)
 sql("notes_donor", ["donor", "crosswalk"], _DONOR)
 sql(
     "notes_donor_deduped",
@@ -442,10 +433,11 @@ sql(
 sql(
     "notes_generic",
     ["polling"],
-    _notes(f"""
-        SELECT CAST(myv_van_id AS VARCHAR) AS van_id, place AS "text", false AS is_view_restricted,
-               {_case('state', queries.POLLING_CATEGORIES)} AS note_category_id,
-               CAST(NULL AS TIMESTAMP) AS contacttimestamp, state AS state_code FROM polling"""),
+    _notes(
+        """SELECT CAST(myv_van_id AS VARCHAR) AS van_id, place AS "text", state AS state_code,
+                  NULL::TIMESTAMP AS contacttimestamp FROM polling""",
+        queries.POLLING_CATEGORIES,
+    ),
 )
 _categories = ", ".join(
     f"({_quoted(n)}, {_quoted(s)}, {c})" for n, states in codes.NOTE_CATEGORIES.items() for s, c in states.items()
@@ -560,17 +552,18 @@ _DAY = f"DATE '{queries.RUN_DATE.isoformat()}'"
 
 
 def _best(candidates: str, source: str, extra: bool = True, cutoff: float = 0.4) -> str:
-    tie = """CASE WHEN i.state IS NOT NULL AND lower(i.state) = lower(p.state_code)
-                   AND left(lower(i.fname), 3) = left(lower(p.first_name), 3)
-                   AND lower(i.lname) = lower(p.last_name) THEN 1 ELSE 0 END"""
+    same = " AND ".join(
+        ["lower(s.state) = lower(p.state_code)", "lower(s.lname) = lower(p.last_name)",
+         "lower(s.fname[:3]) = lower(p.first_name[:3])"]
+    )
     return f"""
-        SELECT person_id, voterbase_id, score, {_DAY} AS matched_date, {', '.join(_SRC)} FROM (
-            SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY extra DESC, score DESC, voterbase_id) AS rn FROM (
-                SELECT p.person_id, m.source_id, m.matched_id AS voterbase_id, m.score, {', '.join(f'i.{c}' for c in _SRC)},
-                       {tie if extra else '0'} AS extra
-                FROM (SELECT * FROM {candidates} WHERE matched_id IS NOT NULL) m
-                LEFT JOIN {source} i ON m.source_id = i.pk LEFT JOIN person_file p ON m.matched_id = p.voterbase_id) a) b
-        WHERE rn = 1 AND (score >= {cutoff} OR extra = 1) AND person_id IS NOT NULL"""
+        SELECT * EXCLUDE (tied) FROM (
+            SELECT p.person_id, c.matched_id AS voterbase_id, c.score, {_DAY} AS matched_date,
+                   {', '.join(f's.{x}' for x in _SRC)}, coalesce({same}, false) AND {extra} AS tied
+            FROM {candidates} c LEFT JOIN person_file p ON p.voterbase_id = c.matched_id
+            LEFT JOIN {source} s ON s.pk = c.source_id
+            QUALIFY row_number() OVER (PARTITION BY c.source_id ORDER BY tied DESC, c.score DESC, c.matched_id) = 1) top
+        WHERE person_id IS NOT NULL AND (tied OR score >= {cutoff})"""
 
 
 def _merge(*rounds: str) -> str:
@@ -602,25 +595,24 @@ sql(
 
 def _names(source: str) -> str:
     """Name guesses of the one row per key with the lowest email."""
+    empty = lambda x: f"nullif({x}, '')"
     return f"""
         SELECT pk,
-               CASE WHEN f IS NOT NULL AND p2 IS NOT NULL AND p1 <> '' THEN p1
-                    WHEN f IS NOT NULL AND l IS NULL AND fl2 IS NOT NULL AND ff <> '' THEN ff
-                    WHEN f IS NULL AND el IS NOT NULL AND ef <> el AND ef <> '' THEN ef
-                    ELSE {_initcap('f')} END AS first_name_guess,
-               CASE WHEN l IS NULL THEN nullif(coalesce(fl2, el), '') ELSE {_initcap('l')} END AS last_name_guess
-        FROM (SELECT *, CASE WHEN fl = f THEN NULL ELSE fl END AS fl2,
-                     nullif({_initcap("regexp_extract(mailbox, '^([^._]+)')")}, '') AS ef,
-                     nullif({_initcap("regexp_extract(mailbox, '[^._]*$')")}, '') AS el
-              FROM (SELECT pk, f, l, e,
-                    nullif({_initcap("split_part(regexp_replace(lower(f), ' and | & ', ';', 'g'), ';', 1)")}, '') AS p1,
-                    nullif({_initcap("split_part(regexp_replace(lower(f), ' and | & ', ';', 'g'), ';', 2)")}, '') AS p2,
-                    nullif({_initcap("left(f, instr(f, ' '))")}, '') AS ff,
-                    nullif({_initcap("substr(f, instr(f, ' ') + 1)")}, '') AS fl,
-                    CASE WHEN instr(e, '@') > 0
-                         THEN nullif(regexp_replace(lower(left(e, instr(e, '@') - 1)), '[^a-zA-Z._]', '', 'g'), '') END AS mailbox
-                    FROM (SELECT pk, fname AS f, lname AS l, email AS e FROM {source}
-                          QUALIFY row_number() OVER (PARTITION BY pk ORDER BY email NULLS LAST) = 1) a) b) c"""
+               CASE WHEN second_partner IS NOT NULL AND first_partner IS NOT NULL THEN first_partner
+                    WHEN fname IS NOT NULL AND lname IS NULL AND rest_is_new AND word IS NOT NULL THEN word
+                    WHEN fname IS NULL AND mail_first <> mail_last THEN mail_first
+                    ELSE {_initcap('fname')} END AS first_name_guess,
+               coalesce({_initcap('lname')}, CASE WHEN rest_is_new THEN rest END, mail_last) AS last_name_guess
+        FROM (SELECT *, rest IS NOT NULL AND rest <> fname AS rest_is_new FROM (
+            SELECT pk, fname, lname, {empty(_initcap("partners[1]"))} AS first_partner,
+                   {empty(_initcap("coalesce(partners[2], '')"))} AS second_partner,
+                   {empty(_initcap("fname[:instr(fname, ' ')]"))} AS word,
+                   {empty(_initcap("fname[instr(fname, ' ') + 1:]"))} AS rest,
+                   {empty(_initcap("regexp_extract(box, '^[^._]+')"))} AS mail_first,
+                   {empty(_initcap("string_split(replace(box, '_', '.'), '.')[-1]"))} AS mail_last
+            FROM (SELECT pk, fname, lname, string_split(regexp_replace(lower(fname), ' (and|&) ', ';', 'g'), ';') AS partners,
+                         regexp_replace(lower(regexp_extract(email, '^([^@]*)@', 1)), '[^a-z._]', '', 'g') AS box
+                  FROM {source} QUALIFY row_number() OVER (PARTITION BY pk ORDER BY email NULLS LAST) = 1) a) b) c"""
 
 
 sql("name_guess", ["match_source"], _names("match_source"))

@@ -81,14 +81,17 @@ def with_contact_details(
 def unknown_at_home(people: DataFrame, emails: DataFrame) -> DataFrame:
     """Drop people whose email any committee of their home state has, in any case.
 
-    A person without an email cannot be found and stays.
+    A person without an email cannot be found and stays; each of them gets a key of
+    their own, or the join would bring all of them into one task per state.
     """
     known = (
-        emails.where(F.col("myc_van_id").isNotNull())
-        .select(F.lower("email").alias("email"), F.col("state_code").alias("state_or_province"))
+        emails.where(F.col("myc_van_id").isNotNull() & F.col("email").isNotNull())
+        .select(F.lower("email").alias("_email"), F.col("state_code").alias("state_or_province"))
         .distinct()
     )
-    return people.join(known, ["email", "state_or_province"], "left_anti")
+    nobody = F.concat(F.lit("\u0000"), F.col("myc_van_id").cast("string"))
+    keyed = people.withColumn("_email", F.coalesce("email", nobody))
+    return keyed.join(known, ["_email", "state_or_province"], "left_anti").drop("_email")
 
 
 def people_view(

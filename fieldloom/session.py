@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(app_name: str = "fieldloom", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "fieldloom", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the plans are written for.
 
     All timestamps are zone-less UTC, so the session zone is pinned to UTC; the
-    conversions in ``functions.zones`` do not depend on it.
+    conversions in ``functions.zones`` do not depend on it. ``shuffle_bytes``, the
+    size of the largest shuffle to expect, sets how many partitions shuffles start
+    with; the adaptive planner joins small ones but cannot make more.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -26,6 +33,9 @@ def build_session(app_name: str = "fieldloom", master: str | None = None, **conf
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
+    if shuffle_bytes is not None:
+        partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

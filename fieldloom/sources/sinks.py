@@ -16,14 +16,14 @@ from fieldloom.session import Staging
 Sink = Callable[[DataFrame], None]
 
 
-def keyed_layout(df: DataFrame, *keys: str) -> DataFrame:
+def keyed_layout(df: DataFrame, key: str, *more: str) -> DataFrame:
     """Rows of a key close together and sorted, so that readers skip by file statistics."""
-    return df.hint("rebalance", *keys).sortWithinPartitions(*keys)
+    return df.hint("rebalance", key).sortWithinPartitions(key, *more)
 
 
-def write_keyed(df: DataFrame, path: str, *keys: str, mode: str = "errorifexists") -> DataFrame:
-    """Create a table laid out by ``keys`` and return a scan of it."""
-    keyed_layout(df, *keys).write.mode(mode).option("compression", "zstd").parquet(path)
+def write_keyed(df: DataFrame, path: str, key: str, *more: str, mode: str = "errorifexists") -> DataFrame:
+    """Create a table laid out by ``key`` and return a scan of it."""
+    keyed_layout(df, key, *more).write.mode(mode).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
