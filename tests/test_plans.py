@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import frame
 from checks.queries import MATCH, QUERIES
+from fieldloom import session
 from fieldloom.functions import zones
 from fieldloom.operators import joins, windows
 from fieldloom.plans import matching
@@ -98,3 +99,40 @@ def test_skewed_best_per_key_sends_one_row_per_task(spark):
     assert len(rows) == 51 and max(r.id for r in rows) == 89999
     shown = plan(best)
     assert re.search(r"WindowGroupLimit.*Partial", shown)
+
+
+def test_hot_match_key_is_split(spark, no_broadcast):
+    """A third of the sources share all their fields; the adaptive planner splits their key."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    config = matching.MatchConfig(
+        pii={"primary_key": "id", "first_name": "f", "last_name": "l", "zip": "z"},
+        person={"first_name": "f", "last_name": "l", "zip": "z"},
+        rules=[matching.MatchRule(0.9, {"first_name": "exact", "last_name": "exact", "zip": "exact"})],
+    )
+    people = spark.range(60000).select(
+        "id",
+        F.lit("ann").alias("f"),
+        F.when(F.col("id") % 3 == 0, "li").otherwise(F.md5(F.col("id").cast("string"))).alias("l"),
+        F.lit("10001").alias("z"),
+    )
+    people = session.stage_table(people.repartition(8), "people")
+    persons = people.withColumn("voterbase_id", F.format_string("V%06d", "id"))
+    index = session.stage_table(matching.person_index(config, persons), "index")
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        found = matching.match_candidates(config, people, index, keep_unmatched=False)
+        total = found.agg(F.count("*").alias("n"), F.max("matched_id").alias("m"))
+        # the third finds the three lowest ids among themselves, the rest only their own
+        (row,) = total.collect()
+        assert row.n == 20000 * 3 + 40000
+        assert "skew=true" in plan(total)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
