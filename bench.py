@@ -47,6 +47,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            # the inputs are a few megabytes: keep all cores busy after a shuffle
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

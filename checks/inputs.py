@@ -6,6 +6,7 @@ whole tables. ``{name}`` stands for a given table or another input.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -190,10 +191,16 @@ def _parts(name: str) -> list[str]:
     return list(dict.fromkeys(field for _, field, _, _ in Formatter().parse(INPUTS[name]) if field))
 
 
+@lru_cache
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """A given table; its schema is read once per session."""
+    return spark.read.parquet(path)
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a derived input as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _table(spark, f"{sf_dir}/{name}.parquet")
     return spark.sql(INPUTS[name], **{p: frame(spark, sf_dir, p) for p in _parts(name)})
 
 

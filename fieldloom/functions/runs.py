@@ -8,21 +8,22 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 
+def _epoch(stamp: Column) -> Column:
+    """Seconds since 1970 of a UTC stamp; NULL if unreadable."""
+    return F.concat(stamp, F.lit("+00:00")).try_cast("timestamp").cast("long")
+
+
 def _seconds_of_day(stamp: Column) -> Column:
     """Seconds of the time of day in characters 12 to 19 of an ISO stamp; NULL if unreadable."""
     clock = F.substring(stamp, 12, 8)
-    part = lambda i: F.split_part(clock, F.lit(":"), F.lit(i)).try_cast("int")
-    readable = clock.rlike(r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$")
-    return F.when(readable, part(1) * 3600 + part(2) * 60 + part(3))
+    only_digits = F.translate(clock, "0123456789", "") == "::"
+    return F.when(only_digits, _epoch(F.concat(F.lit("1970-01-01 "), clock)))
 
 
 def _clock_text(seconds: Column) -> Column:
-    return F.format_string(
-        "%d:%02d:%02d",
-        F.floor(seconds / 3600).cast("int"),
-        F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("int"),
-        F.pmod(seconds, F.lit(60)).cast("int"),
-    )
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    minutes = F.pmod(F.floor(seconds / 60), F.lit(60))
+    return F.concat_ws(":", F.floor(seconds / 3600).cast("string"), two(minutes), two(F.pmod(seconds, F.lit(60))))
 
 
 def _finished(runs: Column) -> tuple[Column, Column]:
@@ -48,5 +49,4 @@ def latest_runtime(runs: Column) -> Column:
 def runtime_seconds(runs: Column) -> Column:
     """Length of the newest run from its full stamps; NULL while running or unreadable."""
     started, finished = _finished(runs)
-    epoch = lambda c: F.concat(F.left(c, F.lit(19)), F.lit("+00:00")).try_cast("timestamp").cast("long")
-    return epoch(finished) - epoch(started)
+    return _epoch(F.left(finished, F.lit(19))) - _epoch(F.left(started, F.lit(19)))
