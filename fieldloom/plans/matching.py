@@ -48,6 +48,9 @@ STANDARD = {
 }
 
 
+TIED = ("state_code", "first_name", "last_name")
+
+
 @dataclass(frozen=True)
 class MatchRule:
     """A pair sharing all these fields has at least this score.
@@ -116,6 +119,10 @@ class MatchConfig:
         """The source column of a field; a typed NULL if it has none."""
         return F.col(self.mapped[name]) if name in self.mapped else F.lit(None).cast("string")
 
+    def person_column(self, name: str) -> Column:
+        """The same of the person file."""
+        return F.col(self.person[name]) if self.person.get(name) else F.lit(None).cast("string")
+
     def rules_in_use(self) -> list[tuple[int, MatchRule]]:
         """Rules all of whose fields both sides have, numbered."""
         person = {f for f, c in self.person.items() if c}
@@ -209,7 +216,7 @@ def match_candidates(
 
 def tie_out(config: MatchConfig, person: Mapping[str, Column]) -> Column:
     """1 where state, last name and the first three letters of the first name agree, else 0."""
-    if not config.use_extra_match or not {"first_name", "last_name", "state_code"} <= set(config.mapped):
+    if not config.use_extra_match or not set(TIED) <= set(config.mapped):
         return F.lit(0)
     agree = (
         same_text(config.source("state_code"), person["state_code"])
@@ -228,30 +235,31 @@ def best_match(
     If that one has no person id or neither tie-out nor a score at the cutoff, the
     source stays without a match.
     """
-    person = people.select(
-        "person_id",
-        "voterbase_id",
-        *[F.col(config.person[f]).alias(f"_{f}") for f in ("state_code", "first_name", "last_name")],
-    )
+    person = people.select("person_id", "voterbase_id", *[config.person_column(f).alias(f"_{f}") for f in TIED])
+    known = mapped_columns(config, source).withColumn("_key", F.col(config.key))
     rows = (
         candidates.where(F.col("matched_id").isNotNull())
         .join(person, F.col("matched_id") == F.col("voterbase_id"), "left")
-        .join(
-            mapped_columns(config, source).withColumn("_key", F.col(config.key)), F.col("source_id") == F.col("_key"), "left"
-        )
+        .join(known, F.col("source_id") == F.col("_key"))
         .select(
             "source_id",
             "person_id",
             F.col("matched_id").alias("voterbase_id"),
             candidates["score"],
             *config.columns,
-            tie_out(config, {f: F.col(f"_{f}") for f in ("state_code", "first_name", "last_name")}).alias("_extra"),
+            tie_out(config, {f: F.col(f"_{f}") for f in TIED}).alias("_extra"),
         )
     )
-    order = [F.desc("_extra"), F.col("score").desc_nulls_last(), F.col("voterbase_id")]
-    order += [F.col(c).asc_nulls_last() for c in ["person_id", *config.columns]]
-    accepted = best_per_key(rows, ["source_id"], order).where(
-        ((F.col("score") >= config.cutoff_threshold) | (F.col("_extra") == 1)) & F.col("person_id").isNotNull()
+    # the join has brought the rows of a source together in order: its first row is an
+    # aggregate that needs no further sort, and that is taken in two steps where the
+    # join had to be split for a hot key
+    order = [-F.col("_extra"), F.col("score").isNull(), -F.col("score"), F.col("voterbase_id"), F.col("person_id").isNull()]
+    first = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], *rows.drop("source_id").columns)
+    accepted = (
+        rows.groupBy("source_id")
+        .agg(F.min(first).alias("first"))
+        .select("first.*")
+        .where(((F.col("score") >= config.cutoff_threshold) | (F.col("_extra") == 1)) & F.col("person_id").isNotNull())
     )
     today = F.current_date() if run_date is None else F.lit(run_date)
     return accepted.withColumn("matched_date", today).select(*RESULT, *config.columns)

@@ -101,8 +101,9 @@ def test_skewed_best_per_key_sends_one_row_per_task(spark):
     assert re.search(r"WindowGroupLimit.*Partial", shown)
 
 
-def test_hot_match_key_is_split(spark, no_broadcast):
-    """A third of the sources share all their fields; the adaptive planner splits their key."""
+@pytest.fixture
+def tiny_skew(spark, no_broadcast):
+    """Settings under which a few kilobytes are a skewed partition."""
     small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -110,29 +111,55 @@ def test_hot_match_key_is_split(spark, no_broadcast):
         "spark.sql.shuffle.partitions": "32",
     }
     before = {k: spark.conf.get(k) for k in small}
-    config = matching.MatchConfig(
-        pii={"primary_key": "id", "first_name": "f", "last_name": "l", "zip": "z"},
-        person={"first_name": "f", "last_name": "l", "zip": "z"},
-        rules=[matching.MatchRule(0.9, {"first_name": "exact", "last_name": "exact", "zip": "exact"})],
-    )
-    people = spark.range(60000).select(
-        "id",
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+PEOPLE = matching.MatchConfig(
+    pii={"primary_key": "id", "first_name": "f", "last_name": "l", "zip": "z"},
+    person={"first_name": "f", "last_name": "l", "zip": "z"},
+    rules=[matching.MatchRule(0.9, {"first_name": "exact", "last_name": "exact", "zip": "exact"})],
+)
+
+
+def many(spark, hot_id=False):
+    """60,000 rows of which a third share their names and zip, or their id."""
+    hot = F.col("id") % 3 == 0
+    own = F.md5(F.col("id").cast("string"))
+    rows = spark.range(60000).select(
+        F.when(hot, 0).otherwise(F.col("id")).alias("id") if hot_id else F.col("id"),
         F.lit("ann").alias("f"),
-        F.when(F.col("id") % 3 == 0, "li").otherwise(F.md5(F.col("id").cast("string"))).alias("l"),
+        own.alias("l") if hot_id else F.when(hot, "li").otherwise(own).alias("l"),
         F.lit("10001").alias("z"),
     )
-    people = session.stage_table(people.repartition(8), "people")
-    persons = people.withColumn("voterbase_id", F.format_string("V%06d", "id"))
-    index = session.stage_table(matching.person_index(config, persons), "index")
-    try:
-        for k, v in small.items():
-            spark.conf.set(k, v)
-        found = matching.match_candidates(config, people, index, keep_unmatched=False)
-        total = found.agg(F.count("*").alias("n"), F.max("matched_id").alias("m"))
-        # the third finds the three lowest ids among themselves, the rest only their own
-        (row,) = total.collect()
-        assert row.n == 20000 * 3 + 40000
-        assert "skew=true" in plan(total)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    return session.stage_table(rows.repartition(8), "many")
+
+
+def test_hot_match_key_is_split(spark, tiny_skew):
+    """The adaptive planner splits a key that a third of the sources share."""
+    people = many(spark)
+    index = matching.person_index(PEOPLE, people.withColumn("voterbase_id", F.format_string("V%06d", "id")))
+    found = matching.match_candidates(PEOPLE, people, session.stage_table(index, "index"), keep_unmatched=False)
+    total = found.agg(F.count("*").alias("n"), F.max("matched_id").alias("m"))
+    (row,) = total.collect()
+    # the third finds the three lowest ids among themselves, the rest only their own
+    assert row.n == 20000 * 3 + 40000
+    assert "skew=true" in plan(total)
+
+
+def test_hot_source_id_is_split(spark, tiny_skew):
+    """So with an id that a third of the source rows carry, when the best match is chosen."""
+    source = many(spark, hot_id=True)
+    ids = source.select("id").distinct()
+    found = ids.selectExpr("id as source_id", "'V1' as matched_id", "0.9D as score")
+    people = spark.createDataFrame([("P1", "V1", "ann", "li", "10001")], "person_id string, voterbase_id string, f string, l string, z string")
+    best = matching.best_match(PEOPLE, session.stage_table(found, "found"), source, people)
+    total = best.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.max(F.when(F.col("id") == 0, F.col("l"))).alias("l"))
+    (row,) = total.collect()
+    assert row.n == row.ids == 40001
+    # of the rows with the shared id the first one in order counts
+    assert row.l == source.where("id = 0").agg(F.min("l")).first()[0]
+    assert "skew=true" in plan(total)
