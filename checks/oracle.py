@@ -216,7 +216,15 @@ def _values(table: Mapping[str, int], alias: str) -> str:
     return "(VALUES " + ", ".join(f"({_quoted(k)}, {v})" for k, v in table.items()) + f") {alias}"
 
 
-def _records(question: int, rows: str, id_col: str, text: str, answers: Mapping[str, int], kinds: Mapping[str, int], where: str) -> str:
+def _records(
+    question: int,
+    rows: str,
+    id_col: str,
+    text: str,
+    answers: Mapping[str, int],
+    kinds: Mapping[str, int],
+    where: str = "true",
+) -> str:
     """Records by joining code tables; whatever has no code or no time stamp joins nothing."""
     exported = {k: v for k, v in kinds.items() if v != 2}
     return f"""
@@ -250,7 +258,7 @@ sql(
     "view_volunteer",
     _CHAIN_INPUTS,
     _records(
-        349878, _VOLUNTEER_ROWS, "st_myv_van_id", "surveyresponsetext", codes.VOLUNTEER_ANSWERS, codes.CONTACT_TYPES, "true"
+        349878, _VOLUNTEER_ROWS, "st_myv_van_id", "surveyresponsetext", codes.VOLUNTEER_ANSWERS, codes.CONTACT_TYPES
     ),
 )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import frame
 from fieldloom import session
-from fieldloom.functions import address, codes, dates, hashing, lists, names, runs, text, zones
+from fieldloom.functions import codes, dates, hashing, lists, runs, text, zones
 from fieldloom.operators import joins, sets, windows
 from fieldloom.plans import audit, load, matching, notes, people, survey
 from fieldloom.sources import sinks, tables

@@ -366,16 +366,19 @@ def match(
     previous: DataFrame | None = None,
     cleaned: DataFrame | None = None,
     run_date: date | None = None,
+    index: DataFrame | None = None,
 ) -> MatchResult:
     """The whole job over one source. Results that several later steps read are staged.
 
     Copies of a source row are reduced to one first. Cleaning runs on all rows at
-    once, partition by partition; it needs no chunks.
+    once, partition by partition; it needs no chunks. A stored ``person_index`` of the
+    person file saves making it again.
     """
     staging = Staging(source.sparkSession, "match")
     mapped = mapped_columns(config, source).where(F.col(config.key).isNotNull()).distinct()
     universe = staging.table(mapped_columns(config, rematch_universe(config, mapped, previous)), "stage_0_input")
-    index = staging.table(person_index(config, people), "person_index")
+    if index is None:
+        index = staging.table(person_index(config, people), "person_index")
 
     def one_round(rows: DataFrame, name: str) -> DataFrame:
         found = match_candidates(config, rows, index, keep_unmatched=False)
@@ -401,6 +404,7 @@ def match_job(
     output: str,
     history: str,
     run_date: date | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """One run of a recurring job: published matches at ``output``, cleaned rows at ``history``.
 
@@ -408,9 +412,8 @@ def match_job(
     between the two writes, the next one cleans and matches the same rows again.
     """
     spark = source.sparkSession
-    result = match(
-        config, source, people, tables.scan_if_exists(spark, output), tables.scan_if_exists(spark, history), run_date
-    )
+    previous, cleaned = tables.scan_if_exists(spark, output), tables.scan_if_exists(spark, history)
+    result = match(config, source, people, previous, cleaned, run_date, index)
     with result.staging:
         published = result.staging.table(result.matches, "all_matches")
         written = sinks.write_keyed(published, output, config.key, mode="overwrite")

@@ -150,14 +150,15 @@ def test_hot_match_key_is_split(spark, tiny_skew):
     assert "skew=true" in plan(total)
 
 
-def test_hot_source_id_is_split(spark, tiny_skew):
+def test_hot_source_id_is_split(spark, tiny_skew, rows):
     """So with an id that a third of the source rows carry, when the best match is chosen."""
     source = many(spark, hot_id=True)
     ids = source.select("id").distinct()
     found = ids.selectExpr("id as source_id", "'V1' as matched_id", "0.9D as score")
-    people = spark.createDataFrame([("P1", "V1", "ann", "li", "10001")], "person_id string, voterbase_id string, f string, l string, z string")
+    people = rows("person_id string, voterbase_id string, f string, l string, z string", ("P1", "V1", "a", "b", "1"))
     best = matching.best_match(PEOPLE, session.stage_table(found, "found"), source, people)
-    total = best.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.max(F.when(F.col("id") == 0, F.col("l"))).alias("l"))
+    shared = F.when(F.col("id") == 0, F.col("l"))
+    total = best.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.max(shared).alias("l"))
     (row,) = total.collect()
     assert row.n == row.ids == 40001
     # of the rows with the shared id the first one in order counts
