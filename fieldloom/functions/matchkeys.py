@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ def _name(c: Column) -> Column:
 
 
 def _lower(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    return F.translate(F.lower(F.trim(c)), SEPARATOR, "")
 
 
 def _address(c: Column) -> Column:
@@ -40,20 +42,16 @@ def normal(field: str, column: Column) -> Column:
     return none_if_empty(_NORMAL.get(field, _lower)(column.cast("string")))
 
 
-def one_letter_less(text: Column) -> Column:
-    """The text itself and every text it becomes by losing one letter.
+def one_letter_less(text: Column, made: Callable[[Column], Column] = lambda form: form) -> Column:
+    """The text itself and every text it becomes by losing one letter, each put through ``made``.
 
     Two names have such a form in common if one slip (a letter missing, added or
     replaced, or two neighbours swapped) turns one into the other. That makes a
-    tolerant comparison an equality join.
+    tolerant comparison an equality join. A single letter has no shorter form.
     """
-    shorter = F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.concat(F.left(text, i - 1), F.substr(text, i + 1)),
-    )
-    return F.when(
-        F.length(text) > 1, F.array_distinct(F.concat(F.array(text), shorter))
-    ).otherwise(F.array(text))
+    length = F.length(text)
+    cut = F.sequence(F.when(length > 1, 1).otherwise(2), length + 1)
+    return F.transform(cut, lambda i: made(F.concat(F.left(text, i - 1), F.substr(text, i + 1))))
 
 
 def part(field: Column, how: str) -> Column:

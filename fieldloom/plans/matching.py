@@ -55,13 +55,17 @@ TIED = ("state_code", "first_name", "last_name")
 class MatchRule:
     """A pair sharing all these fields has at least this score.
 
-    Comparisons: ``exact``, ``prefix<n>`` (the first n characters) and ``near``
-    (one slip of the pen apart).
+    Comparisons: ``exact``, ``prefix<n>`` (the first n characters) and, for one field
+    at most, ``near`` (one slip of the pen apart).
     """
 
     score: float
     fields: Mapping[str, str]
 
+    def __post_init__(self) -> None:
+        if list(self.fields.values()).count("near") > 1:
+            raise ValueError("a rule compares one field at most as near")
+
 
 RULES = (
     MatchRule(0.98, {"email": "exact", "last_name": "exact"}),
@@ -151,7 +155,11 @@ def rematch_universe(
 
 
 def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
-    """Array of (score, key) of a record, over all rules; NULL keys for missing fields."""
+    """Array of (score, key) of a record, over all rules; NULL keys for missing fields.
+
+    The last field of a rule, usually the most telling one, comes first in the key and
+    the number of the rule late: sorts compare the first bytes before anything else.
+    """
     mark = F.lit(matchkeys.SEPARATOR)
 
     def scored(rule: MatchRule, key: Column) -> Column:
@@ -160,16 +168,13 @@ def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
     single, several = [], []
     for number, rule in config.rules_in_use():
         near = [f for f, how in rule.fields.items() if how == "near"]
-        parts = [matchkeys.part(columns[f], how) for f, how in rule.fields.items() if how != "near"]
-        key = F.concat(F.lit(str(number)), *[x for p in parts for x in (mark, p)])
-        if not near:
+        parts = [matchkeys.part(columns[f], how) for f, how in reversed(rule.fields.items()) if how != "near"]
+        key = F.concat(*[x for p in parts for x in (p, mark)], F.lit(str(number)))
+        if near:
+            forms = matchkeys.one_letter_less(columns[near[0]], lambda f, k=key, r=rule: scored(r, F.concat(k, mark, f)))
+            several.append(F.coalesce(forms, F.array()))
+        else:
             single.append(scored(rule, key))
-            continue
-        keys = F.array(key)
-        for name in near:
-            forms = matchkeys.one_letter_less(columns[name])
-            keys = F.flatten(F.transform(keys, lambda k: F.transform(forms, lambda f: F.concat(k, mark, f))))  # noqa: B023
-        several.append(F.coalesce(F.transform(keys, lambda k: scored(rule, k)), F.array()))  # noqa: B023
     return F.concat(F.array(*single), *several)
 
 
