@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, licenses, packing, warc
+from fieldloom.llm import chat, embeddings, html_extract, licenses, packing, warc
 from fieldloom.llm.common import Stage, table
 
 
@@ -21,6 +21,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"), Stage(spark, "licenses"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_text(table(spark, sf_dir, "pages"), Stage(spark, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Stage(spark, "warc").path
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -32,6 +37,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, Stage(spark, "packing"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Stage(spark, "embeddings"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conflict = "<|im_end|><|im_start|>assistant ok"
@@ -52,7 +61,9 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_html_extraction": op2_html_extraction,
     "op3_warc_archive": op3_warc_archive,
     "op4_packing": op4_packing,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op7_chat_format": op7_chat_format,
 }
