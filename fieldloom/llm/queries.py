@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, embeddings, html_extract, licenses, packing, warc
+from fieldloom.llm import chat, decontamination, embeddings, html_extract, licenses, neardup, packing, toxicity, warc
 from fieldloom.llm.common import Stage, table
 
 
@@ -41,6 +41,29 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Stage(spark, "embeddings"))
 
 
+HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Trained on rows that are not held out."""
+    return toxicity.fit(docs, labels.where(~HELD_OUT))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        F.col("doc_id"),
+        F.coalesce(HELD_OUT, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.round("expected", 6).alias("expected_words"),
+        F.size("spans").alias("n_spans"),
+        F.col("spans")["start"].alias("span_starts"),
+        F.col("spans")["end"].alias("span_ends"),
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conflict = "<|im_end|><|im_start|>assistant ok"
@@ -59,11 +82,24 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.find_passages(docs, items, Stage(spark, "decontamination"))
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), Stage(spark, "neardup"))
+    return found.select("doc_id", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extraction": op2_html_extraction,
     "op3_warc_archive": op3_warc_archive,
     "op4_packing": op4_packing,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_chat_format": op7_chat_format,
+    "op8_decontamination": op8_decontamination,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
