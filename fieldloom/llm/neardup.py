@@ -12,11 +12,15 @@ documents agree on a sample with a chance equal to their weighted Jaccard simila
 Documents that agree on all samples of a band are candidates, and a link is a candidate
 pair whose exact weighted Jaccard similarity is ``similarity`` or more.
 
-Texts with the same words are one class with a number of copies. The classes of a band's
-bucket are compared with the smallest of them; links join components, and what is still
-apart within a bucket is compared with the smallest of the rest, and last pair by pair
-where the samples promise a similarity near the threshold. Pairs within one component are
-never formed, so a group of copies of any size costs a comparison per member and bucket.
+Texts with the same words are one class with a number of copies. A bucket of candidates is
+dealt in blocks of bounded size, each pair of blocks being work of its own. Of a block
+only the classes go on that have a partner there whose samples promise a similarity near
+the threshold; the common weights of all those are found at once, as a product of the
+matrix of their shingles with itself, and the block hands on edges that join what is
+similar, at most one per class. No pair is emitted, so a group of copies of any size
+stays linear in what is written. Buckets with the same members are worked through once.
+First each class is compared in its largest bucket; then, in all buckets, classes that
+are still in different components.
 
 Defined results: null and empty texts have no words and are copies of each other; texts
 of fewer than five words are one shingle; repeated rows are copies of each other, and of
@@ -37,23 +41,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Stage, components, words_of
-from fieldloom.llm.shingling import WordNumbers, mix, shingles
+from fieldloom.llm.shingling import WordNumbers, mix, occurrences, shingles
 
 SHINGLE = 5
-ROWS, BANDS = 4, 14
+ROWS, BANDS = 3, 12
 SAMPLES = ROWS * BANDS
 CELLS = 1 << 17
 IDF_SHARE = 0.1
 _SEED = 11
-#: Samples that agree, below which a pair is not near the threshold: 0.8 less 3.4 deviations.
-PROMISE = 0.62
+#: Share of samples that agree, below which a pair is not near the threshold: 0.8 less 3.3 deviations.
+PROMISE = 0.58
 
 
 def weigh(words: list[bytes], numbers: WordNumbers) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of a text and how often each stands there."""
+    return np.unique(_hashes(words, numbers), return_counts=True)
+
+
+def _hashes(words: list[bytes], numbers: WordNumbers) -> np.ndarray:
     found = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
-    hashes = shingles(found, min(SHINGLE, len(words)) or 1)
-    return np.unique(hashes, return_counts=True)
+    return shingles(found, min(SHINGLE, len(words)) or 1)
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -61,35 +68,45 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 
 
 @functools.cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Draws of Gamma(2, 1), logs of such draws, and a seed for each sample."""
+def _tables() -> tuple[np.ndarray, ...]:
+    """Draws r of Gamma(2, 1) and 1 / r, logs of such draws, a uniform grid, seeds of samples.
+
+    A 32-bit hash picks one of each: 11 bits for r, 12 for c and 9 for beta.
+    """
     rng = np.random.default_rng(_SEED)
+    r = rng.gamma(2, 1, 1 << 11).astype(np.float32)
     return (
-        rng.gamma(2, 1, 1 << 16).astype(np.float32),
-        np.log(rng.gamma(2, 1, 1 << 16)).astype(np.float32),
-        rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64),
+        r,
+        1 / r,
+        np.log(rng.gamma(2, 1, 1 << 12)).astype(np.float32),
+        ((np.arange(1 << 9) + 0.5) / (1 << 9)).astype(np.float32),
+        rng.integers(1, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1),
     )
 
 
 def sample(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Improved consistent weighted sampling: a 32-bit number for each sample."""
-    gamma, log_gamma, seeds = _tables()
-    out = np.empty(SAMPLES, np.int64)
+    gamma, inverse, log_gamma, uniform, seeds = _tables()
     logs = np.log(weights).astype(np.float32)[None, :]
-    for low in range(0, SAMPLES, 14):
-        x = hashes[None, :] ^ seeds[low : low + 14, None]
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0x94D049BB133111EB)
-        r = gamma[x & np.uint64(0xFFFF)]
-        c = log_gamma[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
-        beta = (x >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
-        t = np.floor(logs / r + beta)
-        best = (c - r * (t - beta + 1)).argmin(axis=1)
-        k = np.arange(len(best))
-        level = t[k, best].astype(np.int64).astype(np.uint64)
-        out[low : low + 14] = (mix(hashes[best] + level * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
-    return out
+    x = (hashes >> np.uint64(32)).astype(np.uint32)[None, :] * seeds[:, None]
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x7FEB352D)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x846CA68B)
+    x ^= x >> np.uint32(16)
+    pick = (x & np.uint32(0x7FF)).astype(np.intp)
+    beta = uniform.take(x >> np.uint32(23))
+    t = inverse.take(pick)
+    t *= logs
+    t += beta
+    np.floor(t, out=t)
+    value = t - beta
+    value += 1
+    value *= gamma.take(pick)
+    np.subtract(log_gamma.take((x >> np.uint32(11)) & np.uint32(0xFFF)), value, out=value)
+    best = value.argmin(axis=1)
+    level = t[np.arange(SAMPLES), best].astype(np.int64).astype(np.uint64)
+    return (mix(hashes[best] + level * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
 
 
 def bands_of(samples: np.ndarray) -> np.ndarray:
@@ -100,20 +117,45 @@ def bands_of(samples: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Of two weighted sets (sorted hashes, weights)."""
-    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][i], b[1][j]).sum()
-    total = a[1].sum() + b[1].sum() - low
-    return float(low / total) if total else 1.0
+def weighted_set(text: bytes, numbers: WordNumbers, by_cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a text, each repetition as an element of its own, and their weights."""
+    hashes = _hashes(words_of(text), numbers)
+    return occurrences(hashes), by_cell[_cell(hashes)].astype(np.float64)
+
+
+def similarities(sets: list[tuple[np.ndarray, np.ndarray]], columns: int = 4096) -> np.ndarray:
+    """Weighted Jaccard similarities of all pairs of a block of weighted sets."""
+    n = len(sets)
+    total = np.array([w.sum() for _, w in sets])
+    owner = np.repeat(np.arange(n), [len(h) for h, _ in sets])
+    element, place, count = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    weight = np.empty(len(element))
+    weight[place] = np.concatenate([w for _, w in sets])
+    shared = count[place] > 1
+    column = (np.cumsum(count > 1) - 1)[place[shared]]
+    owner, weight = owner[shared], weight[count > 1]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((n, n))
+    for low in range(0, len(weight), columns):
+        a, b = np.searchsorted(column, [low, low + columns])
+        held = np.zeros((n, min(columns, len(weight) - low)))
+        held[owner[a:b], column[a:b] - low] = 1
+        common += (held * weight[low : low + columns]) @ held.T
+    joint = total[:, None] + total[None, :] - common
+    return np.where(joint > 0, common / np.where(joint > 0, joint, 1), 1.0)
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of this task by cell of the table of document frequencies."""
     numbers, cells, docs = WordNumbers(), np.zeros(CELLS + 1, np.int64), 0
+    last = np.zeros(CELLS, np.int64)
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            cells[np.unique(_cell(weigh(words_of(text), numbers)[0]))] += 1
+            own = _cell(_hashes(words_of(text), numbers))
+            places = np.arange(len(own))
+            last[own] = places  # a cell keeps its last place, so each counts once
+            cells[own[last[own] == places]] += 1
             docs += 1
     cells[CELLS] = docs
     full = np.flatnonzero(cells)
@@ -166,85 +208,120 @@ def _sampled(weights):
     return over
 
 
-def _verified(weights, similarity: float):
-    """Rows come by group, a group's first row being the one the others are compared with."""
+def _by_block(work):
+    """Call ``work`` for the rows of each block, which come together, and pass on its pairs."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, by_cell = WordNumbers(), weights.value
-        group, head = None, None
+        held: list[tuple] = []
+        out: list[tuple] = []
 
-        def weighed(text: bytes):
-            hashes, counts = weigh(words_of(text), numbers)
-            return hashes, counts * by_cell[_cell(hashes)].astype(np.float64)
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], pa.int64()) for k in range(len(work.names))], work.names
+            )
 
         for batch in batches:
-            rows = []
-            for a, part, b, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (a, part) != group:
-                    group, head = (a, part), weighed(text)
-                    continue
-                near = weighted_jaccard(head, weighed(text))
-                if near >= similarity - 1e-9:
-                    rows.append((a, b, near))
-            columns = list(zip(*rows)) or [()] * 3
-            kinds = [pa.int64(), pa.int64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["a", "b", "near"])
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][:3] != row[:3]:
+                    out += work(held)
+                    held = []
+                held.append(row)
+            if len(out) > 50_000:
+                yield packed()
+                out = []
+        if held:
+            out += work(held)
+        yield packed()
 
     return over
 
 
-def _promising(block_rows: list[tuple]) -> list[tuple[int, int]]:
-    """Pairs of different components in a bucket's block whose samples agree often enough."""
-    left = block_rows[0][1]
-    across = block_rows[0][1] != block_rows[0][2]
-    samples = np.array([r[6] for r in block_rows])
-    component = np.array([r[5] for r in block_rows])
-    own = np.array([r[3] for r in block_rows])
-    out = []
-    for i in range(len(block_rows) - 1):
-        if across and own[i] != left:
-            break
-        same = (samples[i + 1 :] == samples[i]).mean(axis=1) >= PROMISE
-        same &= component[i + 1 :] != component[i]
-        if across:
-            same &= own[i + 1 :] != left
-        out += [(block_rows[i][4], block_rows[i + 1 + j][4]) for j in np.flatnonzero(same)]
-    return out
-
-
-def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    out: list[tuple[int, int]] = []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and held[0][:3] != row[:3]:
-                out += _promising(held)
-                held = []
-            held.append(row)
-        if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-            out = []
-    if held:
-        out += _promising(held)
-    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, weights, similarity: float, stage: Stage, name: str, group: int = 256):
-    """The pairs (a, b) that are similar. Pairs with the same ``a`` are dealt in parts of about
-    ``group``, each of which gets the text of ``a`` once."""
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
-    members = dealt.join(texts.withColumnRenamed("class", "b"), "b").select("a", "part", "b", "text")
-    heads = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    heads = heads.join(texts.withColumnRenamed("class", "a"), "a").select("a", "part", F.lit(-1).cast("long").alias("b"), "text")
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = members.union(heads).repartition(n, "a", "part").sortWithinPartitions("a", "part", "b")
-    return stage.table(work.mapInArrow(_verified(weights, similarity), "a long, b long, near double"), name)
-
-
-def near_duplicates(
-    docs: DataFrame, stage: Stage, similarity: float = 0.8, star_rounds: int = 2, block: int = 1024
-) -> DataFrame:
+def _across(rows: list[tuple]) -> np.ndarray:
+    """Which pairs of a block's rows are to be compared: of different components, and of
+    different halves where the block pairs two. Rows start with bucket, left, right, own,
+    class, component."""
+    component = np.array([r[5] for r in rows])
+    wanted = component[:, None] != component[None, :]
+    if rows[0][1] != rows[0][2]:
+        own = np.array([r[3] for r in rows])
+        wanted &= own[:, None] != own[None, :]
+    return wanted
+
+
+class _Promising:
+    """Rows of a block with a partner whose samples agree often enough."""
+
+    names = ["bucket", "left", "right", "own", "class", "component"]
+
+    def __call__(self, rows: list[tuple]) -> list[tuple]:
+        wanted = _across(rows)
+        samples = np.array([r[6] for r in rows])
+        agree = np.zeros(len(rows), bool)
+        for k in range(len(rows)):
+            near = wanted[k] & ((samples == samples[k]).mean(axis=1) >= PROMISE)
+            agree[k] = near.any()
+        return [r[:6] for r, ok in zip(rows, agree) if ok]
+
+
+class _Similar:
+    """Edges that join the similar rows of a block to the smallest class they reach there."""
+
+    names = ["a", "b"]
+
+    def __init__(self, weights, similarity: float):
+        self.weights, self.similarity, self.numbers = weights, similarity, None
+
+    def __call__(self, rows: list[tuple]) -> list[tuple]:
+        if self.numbers is None:
+            self.numbers = WordNumbers()
+        sets = [weighted_set(r[6], self.numbers, self.weights.value) for r in rows]
+        linked = _across(rows) & (similarities(sets) >= self.similarity - 1e-9)
+        root = np.arange(len(rows))
+        while linked.any():
+            low = np.minimum(root, np.where(linked, root[None, :], len(rows)).min(axis=1))
+            if (low == root).all():
+                break
+            root = low
+        return [(rows[r][4], rows[k][4]) for k, r in enumerate(root) if r != k]
+
+
+def _link(members: DataFrame, samples: DataFrame, texts: DataFrame, weights, similarity, block: int, stage: Stage, name: str):
+    """Edges (a, b) between similar classes; ``members`` are bucket, class, component."""
+    facts = members.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.bit_xor(F.xxhash64("class")).alias("x"),
+        F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
+    )
+    # buckets with the same members are worked through once
+    chosen = facts.where("low <> high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = (
+        members.join(chosen.select("bucket", blocks.alias("blocks")), "bucket")
+        .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("long"))
+        .select(
+            "bucket",
+            "class",
+            "component",
+            "own",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("other"),
+        )
+        .select("bucket", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "class", "component")
+    )
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def together(df: DataFrame, with_what: DataFrame, column: str) -> DataFrame:
+        joined = df.join(with_what, "class").select("bucket", "left", "right", "own", "class", "component", column)
+        return joined.repartition(parts, "bucket", "left", "right").sortWithinPartitions("bucket", "left", "right", "own", "class")
+
+    kinds = ", ".join(f"{c} long" for c in _Promising.names)
+    hopeful = stage.table(together(dealt, samples, "samples").mapInArrow(_by_block(_Promising()), kinds), f"hopeful_{name}")
+    similar = together(hopeful, texts, "text").mapInArrow(_by_block(_Similar(weights, similarity)), "a long, b long")
+    return stage.table(similar, f"links_{name}")
+
+
+def near_duplicates(docs: DataFrame, stage: Stage, similarity: float = 0.8, block: int = 512) -> DataFrame:
     """``doc_id, component_id, kept, copies, digest`` for every row of ``docs``.
 
     ``component_id`` is the smallest id of the component; ``kept`` is true for one row of
@@ -267,10 +344,9 @@ def near_duplicates(
     )
     facts = stage.table(facts, "classes")
     heads = rows.join(facts.select(F.col("class").alias("_row")), "_row", "left_semi")
-    spread = heads.select(F.col("_row").alias("class"), F.explode("bands").alias("band"))
-    # classes that have company in a bucket, once per bucket
-    company = spread.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("head")).where("n > 1")
-    met = stage.table(spread.join(company.select("band", "head", "n"), "band"), "met")
+    spread = heads.select(F.col("_row").alias("class"), F.explode("bands").alias("bucket"))
+    company = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = stage.table(spread.join(company, "bucket"), "met")
     candidates = stage.table(
         rows.join(met.select(F.col("class").alias("_row")).distinct(), "_row", "left_semi").select(
             F.col("_row").alias("class"), "text", "samples"
@@ -279,58 +355,14 @@ def near_duplicates(
     )
     texts, samples = candidates.select("class", "text"), candidates.select("class", "samples")
 
-    def promising(pairs: DataFrame) -> DataFrame:
-        a = samples.select(F.col("class").alias("a"), F.col("samples").alias("_a"))
-        b = samples.select(F.col("class").alias("b"), F.col("samples").alias("_b"))
-        agree = F.size(F.filter(F.zip_with("_a", "_b", lambda x, y: x == y), lambda x: x))
-        return pairs.join(b, "b").join(a, "a").where(agree >= PROMISE * SAMPLES).select("a", "b")
-
-    links = spark.createDataFrame([], "a long, b long")
-    apart = met
-    for k in range(star_rounds):
-        stars = apart.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-        tested = stage.table(promising(stars), f"stars{k}")
-        sure = _verify(tested, texts, weights, similarity, stage, f"links{k}")
-        links = links.union(sure.select("a", "b"))
-        joined = components(links, Stage(spark, f"components{k}"))
-        # buckets whose classes are not all in one component; their next head is the
-        # smallest class outside the component of the first one
-        placed = met.select("class", "band").join(joined.withColumnRenamed("id", "class"), "class", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "class"))
-        first = placed.groupBy("band").agg(
-            F.min(F.struct("class", "component")).alias("first"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("n"),
-        )
-        divided = first.where("low <> high").select("band", F.col("first.component").alias("_first"), "n")
-        rest = stage.table(placed.join(divided, "band"), f"rest{k}")
-        others = rest.where("component <> _first")
-        heads2 = others.groupBy("band").agg(F.min("class").alias("head"))
-        apart = others.join(heads2, "band").select("class", "band", "head")
-
-    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    blocks = rest.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).select(
-        "band", "class", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    work = (
-        blocks.join(samples, "class")
-        .select(
-            "band",
-            F.least("own", "other").alias("left"),
-            F.greatest("own", "other").alias("right"),
-            "own",
-            "class",
-            "component",
-            "samples",
-        )
-        .repartition(n, "band", "left", "right")
-        .sortWithinPartitions("band", "left", "right", "own", "class")
-    )
-    pairs = stage.table(work.mapInArrow(_pair_up, "a long, b long").distinct(), "pairs")
-    sure = _verify(pairs, texts, weights, similarity, stage, "links")
-    joined = components(links.union(sure.select("a", "b")), Stage(spark, "components"))
+    largest = met.groupBy("class").agg(F.max(F.struct("n", "bucket")).alias("m"))
+    own = largest.select(F.col("m.bucket").alias("bucket"), "class", F.col("class").alias("component"))
+    links = _link(own, samples, texts, weights, similarity, block, stage, "first")
+    joined = components(links, Stage(spark, "first_components")).withColumnRenamed("id", "class")
+    rest = met.select("bucket", "class").join(joined, "class", "left")
+    rest = stage.table(rest.withColumn("component", F.coalesce("component", "class")), "rest")
+    more = _link(rest, samples, texts, weights, similarity, block, stage, "rest")
+    joined = components(links.union(more), Stage(spark, "components"))
     placed = facts.join(joined.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
