@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, decontamination, embeddings, html_extract, licenses, neardup, packing, toxicity, warc
+from fieldloom.llm import chat, decontamination, embeddings, html_extract, licenses, neardup, packing, quality, toxicity, warc
 from fieldloom.llm.common import Stage, table
 
 
@@ -92,6 +92,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "component_id", "kept")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rated = quality.rate_documents(docs, labels, Stage(spark, "quality"))
+    return rated.select("doc_id", "lang", "perplexity", "threshold", F.col("accepted").alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat_format": op7_chat_format,
     "op8_decontamination": op8_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
