@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import Stage, components, words_of
+from fieldloom.llm.common import Stage, components, small_side, words_of
 from fieldloom.llm.shingling import WordNumbers, mix, occurrences, shingles
 
 SHINGLE = 5
@@ -321,11 +321,15 @@ def _link(members: DataFrame, samples: DataFrame, texts: DataFrame, weights, sim
     return stage.table(similar, f"links_{name}")
 
 
-def near_duplicates(docs: DataFrame, stage: Stage, similarity: float = 0.8, block: int = 512) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, stage: Stage, similarity: float = 0.8, block: int = 512, max_ids: int = 4_000_000
+) -> DataFrame:
     """``doc_id, component_id, kept, copies, digest`` for every row of ``docs``.
 
     ``component_id`` is the smallest id of the component; ``kept`` is true for one row of
     each; ``copies`` counts the rows with the same words, ``digest`` is the MD5 of these.
+    Up to ``max_ids`` row numbers of candidates are broadcast to pick out their texts; more
+    are joined by a shuffle.
     """
     spark = docs.sparkSession
     weights = spark.sparkContext.broadcast(shingle_weights(docs))
@@ -347,8 +351,9 @@ def near_duplicates(docs: DataFrame, stage: Stage, similarity: float = 0.8, bloc
     spread = heads.select(F.col("_row").alias("class"), F.explode("bands").alias("bucket"))
     company = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = stage.table(spread.join(company, "bucket"), "met")
+    ids = stage.table(met.select(F.col("class").alias("_row")).distinct(), "ids")
     candidates = stage.table(
-        rows.join(met.select(F.col("class").alias("_row")).distinct(), "_row", "left_semi").select(
+        rows.join(small_side(ids, max_ids), "_row", "left_semi").select(
             F.col("_row").alias("class"), "text", "samples"
         ),
         "candidates",
