@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm import chat, decontamination, embeddings, html_extract, licenses, neardup, packing, quality, toxicity, warc
@@ -41,12 +41,13 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Stage(spark, "embeddings"))
 
 
-HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+def held_out() -> Column:
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Trained on rows that are not held out."""
-    return toxicity.fit(docs, labels.where(~HELD_OUT))
+    return toxicity.fit(docs, labels.where(~held_out()))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         F.col("doc_id"),
-        F.coalesce(HELD_OUT, F.lit(False)).alias("held_out"),
+        held_out().alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
         F.round("expected", 6).alias("expected_words"),
