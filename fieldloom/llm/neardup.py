@@ -32,6 +32,7 @@ gives no rows.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 from hashlib import md5
 
@@ -184,7 +185,8 @@ def _sampled(weights):
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 digests, samples, bands = [], [], []
-                for text in part.column(1).to_pylist():
+                texts = part.column(1).to_pylist()
+                for text in texts:
                     words = words_of(text)
                     digests.append(md5(b" ".join(words)).digest())
                     hashes, counts = weigh(words, numbers)
@@ -197,7 +199,8 @@ def _sampled(weights):
                         bands.append([])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns,
+                        part.column(0),
+                        pa.array([zlib.compress(t, 1) for t in texts], pa.binary()),
                         pa.array(digests, pa.binary()),
                         pa.array(samples, pa.list_(pa.int32())),
                         pa.array(bands, pa.list_(pa.int64())),
@@ -274,7 +277,7 @@ class _Similar:
     def __call__(self, rows: list[tuple]) -> list[tuple]:
         if self.numbers is None:
             self.numbers = WordNumbers()
-        sets = [weighted_set(r[6], self.numbers, self.weights.value) for r in rows]
+        sets = [weighted_set(zlib.decompress(r[6]), self.numbers, self.weights.value) for r in rows]
         linked = _across(rows) & (similarities(sets) >= self.similarity - 1e-9)
         root = np.arange(len(rows))
         while linked.any():

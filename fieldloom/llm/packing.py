@@ -12,7 +12,9 @@ a null id is kept; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Stage
 
-#: Tokenized chunks that a worker remembers; it starts anew when they are so many.
-MEMORY = 400_000
+#: Tokenized words that a worker remembers; it starts anew when they are so many.
+MEMORY = 1_000_000
 
 
 @functools.cache
@@ -36,47 +38,35 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+#: Ids of words after a space, by tokenizer file.
 _known: dict[str, dict[str, bytes]] = {}
-
-
-@functools.cache
-def _odd_space():
-    import re
-
-    return re.compile(r" (?:\s|\Z)")
+_ODD_SPACE = re.compile(r" (?:\s|\Z)")
 
 
 def _ids(tokenizer, texts: list[str]) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def encode(path: str, texts: list[str]) -> list[bytes]:
-    """Token ids of each text as little-endian 32-bit numbers.
+    """Token ids of each text as 32-bit numbers.
 
     The tokenizer never joins a character before a space with what follows, and a space
     goes with the next word. So where every space stands before a visible character, the
-    ids are those of the chunks that begin at spaces, and a chunk is encoded once. Other
+    ids are those of the parts that begin at spaces, and each part is encoded once. Other
     texts are encoded whole.
     """
     tokenizer = _tokenizer(path)
     known = _known.setdefault(path, {})
-    plain = [_odd_space().search(t) is None for t in texts]
-    whole = iter(_ids(tokenizer, [t for t, ok in zip(texts, plain) if not ok]))
-    out = []
-    for text, ok in zip(texts, plain):
-        if not ok:
-            out.append(next(whole))
-            continue
-        chunks = text.split(" ")
-        chunks[1:] = [" " + c for c in chunks[1:]]
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            if len(known) + len(new) > MEMORY:
-                known.clear()
-                new = list(set(chunks))
-            known.update(zip(new, _ids(tokenizer, new)))
-        out.append(b"".join([known[c] for c in chunks]))
-    return out
+    parted = [t.split(" ") if _ODD_SPACE.search(t) is None else [t] for t in texts]
+    heads = _ids(tokenizer, [p[0] for p in parted])
+    tails = [p[1:] for p in parted]
+    every = set().union(*tails)
+    new = list(every - known.keys())
+    if len(known) + len(new) > MEMORY:
+        known.clear()
+        new = list(every)
+    known.update(zip(new, _ids(tokenizer, [" " + w for w in new])))
+    return [head + b"".join(map(known.__getitem__, tail)) for head, tail in zip(heads, tails)]
 
 
 def token_pieces(
