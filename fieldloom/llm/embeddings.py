@@ -14,7 +14,7 @@ Equal vectors are one class with a number of copies. Filters with more than
 
 Parameters and recall: ``words`` code words per half give ``words ** 2`` directions, and
 the threshold is set by the expected number of filters per vector, found on seeded random
-vectors and so the same for all data. Recall against brute force is measured in the
+vectors and so the same for all data. Vectors of few dimensions have fewer directions. Recall against brute force is measured in the
 tests; pairs of equal vectors are always found. The similarity is exact: no pair below
 the threshold is linked.
 
@@ -48,14 +48,15 @@ def _code(dim: int, words: int, per_vector: float) -> tuple[np.ndarray, np.ndarr
     half = max(1, dim // 2)
     codes = []
     for size in (half, max(1, dim - half)):
-        code = rng.standard_normal((words, size))
+        # one dimension has two directions, not ``words``
+        code = rng.standard_normal((words, size)) if size > 1 else np.array([[1.0], [-1.0]])
         codes.append(code / np.linalg.norm(code, axis=1, keepdims=True))
     trial = rng.standard_normal((64, max(dim, 2)))[:, :dim]
     trial = trial / np.linalg.norm(trial, axis=1, keepdims=True) @ rotation
     tops = []
     for v in trial:
         x, y = _products(v, codes[0], codes[1])
-        sums = np.add.outer(np.sort(x)[::-1][:words], np.sort(y)[::-1][:words]).ravel()
+        sums = np.add.outer(x, y).ravel()
         k = min(len(sums), int(per_vector * 8))
         tops.append(np.sort(np.partition(sums, len(sums) - k)[-k:])[::-1])
     # the threshold that lists per_vector filters on average over the trial vectors
@@ -78,8 +79,8 @@ def filters_of(vector: np.ndarray, words: int, per_vector: float) -> np.ndarray:
     j = np.flatnonzero(y >= threshold - x.max())
     a, b = np.nonzero(np.add.outer(x[i], y[j]) >= threshold)
     if not len(a):
-        return np.array([int(x.argmax()) * words + int(y.argmax())])
-    return np.sort(i[a] * words + j[b])
+        return np.array([int(x.argmax()) * len(second) + int(y.argmax())])
+    return np.sort(i[a] * len(second) + j[b])
 
 
 def _links(v: np.ndarray, weights: np.ndarray, lists: list[list[int]], own: int, first: int, threshold: float):
