@@ -34,7 +34,7 @@ def st(number: str) -> str:
 
 
 _ANSWERS = "|".join(
-    [*list(codes.FIRST_CHOICE_ANSWERS)[4:], "No Answer", "Volunteer Yes", "Volunteer Maybe", "Volunteer No", "Unlisted"]
+    [*codes.FIRST_CHOICE_ANSWERS, "No Answer", "Volunteer Yes", "Volunteer Maybe", "Volunteer No", "Unlisted"]
 )
 _SUPPORT = "|".join([*codes.SUPPORT_ANSWERS, "Refused", "0 - Wrong number"])
 
@@ -47,13 +47,14 @@ INPUTS = {
         SELECT event_id AS contactcontact_id,
                CASE event_type WHEN 'click' THEN 'getthru_dialer' WHEN 'view' THEN 'spoke'
                     WHEN 'signup' THEN 'bern_app_door_canvass' WHEN 'purchase' THEN 'bern_app_relational'
+                    WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'bern_app_crowd_canvass' ELSE 'myc_phone' END
                     ELSE 'myc_phone' END AS contacttype,
                CASE WHEN value >= 10 THEN {st('user_id')} || '-' || CAST(user_id AS STRING) END AS st_myv_van_id,
                ts AS contacttimestamp
         FROM {{events}}""",
     "response": """
         SELECT event_id AS contactcontact_id, event_id % 5 AS surveyquestionid,
-               CAST(floor(event_id / 5) AS BIGINT) % 25 AS surveyresponseid
+               CAST(floor(event_id / 5) AS BIGINT) % 30 AS surveyresponseid
         FROM {events}""",
     "question": """
         SELECT CAST(r_regionkey AS BIGINT) AS surveyquestionid,
@@ -64,8 +65,10 @@ INPUTS = {
                     ELSE r_name END AS surveyquestiontext
         FROM {region}""",
     "answer": f"""
-        SELECT CAST(n_nationkey AS BIGINT) AS surveyresponseid, {_pick(_ANSWERS, 'n_nationkey', 25)} AS surveyresponsetext
-        FROM {{nation}}""",
+        SELECT CAST(n_nationkey AS BIGINT) AS surveyresponseid, {_pick(_ANSWERS, 'n_nationkey', 30)} AS surveyresponsetext
+        FROM {{nation}}
+        UNION ALL
+        SELECT CAST(r_regionkey + 25 AS BIGINT), {_pick(_ANSWERS, '(r_regionkey + 25)', 30)} FROM {{region}}""",
     "joined_contact": f"""
         SELECT c.st_myv_van_id, {st('(e.user_id + 3)')} || '-' || CAST(e.user_id + 1000 AS STRING) AS st_myc_van_id,
                {_pick(_SUPPORT, "CAST(regexp_extract(e.props, '[0-9]+', 0) AS INT)", 9)} AS support_response_text,

@@ -273,14 +273,11 @@ def _support_records(id_col: str, where: str) -> str:
 _SUPPORT_VIEW = _support_records("st_myv_van_id", "true")
 sql("view_support", ["joined_contact"], _SUPPORT_VIEW)
 sql("view_myc_only", ["joined_contact"], _support_records("st_myc_van_id", "st_myv_van_id IS NULL"))
-sql(
-    "export_queue",
-    _CHAIN_INPUTS,
-    """SELECT van_id, survey_question_id, survey_response_id, input_type_id, contact_type_id, date_canvassed,
+_QUEUES = """SELECT van_id, survey_question_id, survey_response_id, input_type_id, contact_type_id, date_canvassed,
               state_code || '_sqs_current_load' AS queue, state_code || '_sqs_current_load_r' AS response_table
-       FROM records""",
-    records=_FIRST_CHOICE,
-)
+       FROM records"""
+sql("export_queue", _CHAIN_INPUTS, _QUEUES, records=_FIRST_CHOICE)
+sql("export_queue_runs", _CHAIN_INPUTS, _QUEUES + " WHERE state_code IN ('IL', 'NY')", records=_FIRST_CHOICE)
 
 # --- loads -----------------------------------------------------------------------------------
 
@@ -433,7 +430,7 @@ sql(
 sql(
     "load_notes_log",
     ["donor", "crosswalk"],
-    """SELECT CAST(van_id AS BIGINT) AS myc_van_id, left("text", 200) AS "text", is_view_restricted, note_category_id,
+    """SELECT CAST(van_id AS BIGINT) AS myc_van_id, "text", is_view_restricted, note_category_id,
               contacttimestamp, date_canvassed, state_code, note_hash, true AS loaded, run_id
        FROM notes, (SELECT unnest(['1', '2']) AS run_id)""",
     notes=_DONOR,
@@ -465,7 +462,7 @@ sql(
     """SELECT c_custkey,
               CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) AS BIGINT) % chunks + 1 AS INTEGER) AS chunk
        FROM customer,
-            (SELECT CAST(greatest(1, least(3, ceil(count(*) / 500.0))) AS BIGINT) AS chunks FROM customer) c""",
+            (SELECT 3 AS chunks) c""",
 )
 _CHUNK = "CAST(CAST('0x' || substr(md5(CAST(pk AS VARCHAR)), 1, 15) AS BIGINT) % 3 + 1 AS INTEGER)"
 sql(
@@ -662,10 +659,10 @@ sql("address_standardise", ["match_source"], _standard("match_source"))
 def _coalesced(source: str, names: str, standard: str) -> str:
     return f"""
         SELECT i.pk, coalesce(n.first_name_guess, i.fname) AS fname, coalesce(n.last_name_guess, i.lname) AS lname,
-               i.phone, i.email, coalesce(left(c.std_priadr, 256), left(i.addr, 256)) AS addr,
-               coalesce(left(c.std_city, 256), left(i.city, 256)) AS city,
-               coalesce(left(c.std_state, 256), left(i.state, 256)) AS state,
-               coalesce(left(c.std_zip, 256), left(i.zip, 256)) AS zip
+               i.phone, i.email, coalesce(c.std_priadr, i.addr) AS addr,
+               coalesce(c.std_city, i.city) AS city,
+               coalesce(c.std_state, i.state) AS state,
+               coalesce(c.std_zip, i.zip) AS zip
         FROM {source} i LEFT JOIN {names} n ON i.pk = n.pk LEFT JOIN {standard} c ON i.pk = c.pk
         WHERE i.pk IS NOT NULL"""
 
@@ -757,6 +754,7 @@ sql(
     **_candidates("tidy_2", "d_"),
     fourth_round=_best("d_cand", "tidy_2").replace(_DAY, "DATE '2024-03-01'"),
 )
+ORACLE["match_pipeline"] = ORACLE["match_job"]
 
 # --- audit -----------------------------------------------------------------------------------------
 

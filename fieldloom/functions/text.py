@@ -35,10 +35,8 @@ def fits(column: Column, length: int) -> Column:
 def seconds_to_text(seconds: Column, as_clock: bool = False) -> Column:
     """A duration in words (``1 hour, 2 minutes``) or as clock text."""
     secs = seconds.cast("double")
-    days = F.floor(secs / 86400)
-    hours = F.floor((secs - days * 86400) / 3600)
-    minutes = F.floor((secs - days * 86400 - hours * 3600) / 60)
-    rest = secs - days * 86400 - hours * 3600 - minutes * 60
+    days, within = F.floor(secs / 86400), F.pmod(secs, F.lit(86400.0))
+    hours, minutes, rest = F.floor(within / 3600), F.floor(F.pmod(within, F.lit(3600.0)) / 60), F.pmod(within, F.lit(60.0))
 
     def counted(count: Column, text: Column, unit: str) -> Column:
         return F.when(count != 0, F.concat(text, F.when(count == 1, f" {unit}").otherwise(f" {unit}s")))

@@ -18,6 +18,28 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ke
     return df.withColumn("_rank", rank).where(F.col("_rank") <= keep).drop("_rank")
 
 
+def lowest_per_key(df: DataFrame, keys: Sequence[str], digest: str, ties: Sequence[str], keep: int) -> DataFrame:
+    """The ``keep`` rows of each key with the lowest ``digest`` (hexadecimal, evenly spread).
+
+    For any ``keep``: rows are counted by the first four digits, so what lies wholly below
+    the limit is kept as it is, and only the one part in 65,536 of a key that the limit
+    falls into is sorted.
+    """
+    part = F.coalesce(F.substring(F.col(digest), 1, 4), F.lit(""))
+    counts = df.groupBy(*keys, part.alias("_part")).agg(F.count("*").alias("_n"))
+    below = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("_below", F.coalesce(F.sum("_n").over(below), F.lit(0))).where(F.col("_below") < keep)
+    rows, parts = df.withColumn("_part", part).alias("r"), needed.alias("p")
+    same = F.col("r._part") == F.col("p._part")
+    for k in keys:
+        same &= F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}"))
+    met = rows.join(parts, same).select("r.*", "p._n", "p._below")
+    rank = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(digest, *ties))
+    whole = met.where(F.col("_below") + F.col("_n") <= keep)
+    cut = met.where(F.col("_below") + F.col("_n") > keep).withColumn("_rank", rank)
+    return whole.select(*df.columns).unionAll(cut.where(F.col("_below") + F.col("_rank") <= keep).select(*df.columns))
+
+
 def chunk_of(key: Column, chunks: int) -> Column:
     """Chunk 1..chunks of a key by hash: same answer on a retried task, and no shuffle.
 
@@ -25,8 +47,3 @@ def chunk_of(key: Column, chunks: int) -> Column:
     """
     number = F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint")
     return (F.pmod(F.coalesce(number, F.lit(0)), F.lit(chunks)) + 1).cast("int")
-
-
-def chunk_count(rows: int, unit: int = 250_000, units_per_chunk: int = 5, most: int = 3) -> int:
-    """How many chunks ``rows`` rows are cleaned in; at least one."""
-    return max(1, min(most, -(-rows // (unit * units_per_chunk))))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldloom import schemas
-from fieldloom.functions.text import fits
 from fieldloom.operators import joins
 from fieldloom.plans import notes, people
 from fieldloom.session import Staging
@@ -73,7 +72,7 @@ def notes_format() -> LogFormat:
         [c for c in notes.RECORD if c not in ("contacttimestamp", "state_code", "note_hash")],
         "state_code",
         "notes_current_load",
-        {"myc_van_id": F.col("van_id"), "text": fits(F.col("text"), 200)},
+        {"myc_van_id": F.col("van_id")},
     )
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import address, matchkeys
 from fieldloom.functions.names import name_guesses
-from fieldloom.functions.text import fits, same_text
+from fieldloom.functions.text import same_text
 from fieldloom.operators.joins import without_keys
 from fieldloom.operators.sets import union_all
 from fieldloom.operators.windows import best_per_key, chunk_of
@@ -157,13 +157,13 @@ def rematch_universe(
 def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
     """Array of (score, key) of a record, over all rules; NULL keys for missing fields.
 
-    The last field of a rule, usually the most telling one, comes first in the key and
-    the number of the rule late: sorts compare the first bytes before anything else.
+    A key is the digest of the rule's number and its fields.
     """
     mark = F.lit(matchkeys.SEPARATOR)
 
     def scored(rule: MatchRule, key: Column) -> Column:
-        return F.struct(F.lit(rule.score).alias("score"), key.alias("key"))
+        # 16 bytes, however long the fields are
+        return F.struct(F.lit(rule.score).alias("score"), F.unhex(F.md5(key)).alias("key"))
 
     single, several = [], []
     for number, rule in config.rules_in_use():
@@ -172,7 +172,7 @@ def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
         key = F.concat(*[x for p in parts for x in (p, mark)], F.lit(str(number)))
         if near:
             forms = matchkeys.one_letter_less(columns[near[0]], lambda f, k=key, r=rule: scored(r, F.concat(k, mark, f)))
-            several.append(F.coalesce(forms, F.array()))
+            several.append(F.coalesce(F.array_distinct(forms), F.array()))
         else:
             single.append(scored(rule, key))
     return F.concat(F.array(*single), *several)
@@ -199,7 +199,9 @@ def person_index(config: MatchConfig, people: DataFrame, id_col: str = "voterbas
     keyed = _keyed(config, once, config.person, id_col, "matched_id").select("key", "matched_id")
     # dense rank: an id listed twice under a key takes one place, not two
     rank = F.dense_rank().over(Window.partitionBy("key").orderBy("matched_id"))
-    return keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id).drop("_rank")
+    ranked = keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id)
+    # rows of a key are together already, so dropping repeats moves nothing
+    return ranked.select("key", "matched_id").dropDuplicates(["key", "matched_id"])
 
 
 def match_candidates(
@@ -314,8 +316,7 @@ def infer_names(config: MatchConfig, df: DataFrame) -> DataFrame:
 def coalesce_cleaned(config: MatchConfig, df: DataFrame, names: DataFrame) -> DataFrame:
     """Mapped columns with guessed names and standard addresses where there are any.
 
-    ``df`` has its ``std_`` columns. Address values are cut to 256 characters; rows
-    without a key are dropped.
+    ``df`` has its ``std_`` columns. Values are kept whole; rows without a key are dropped.
     """
     guesses = {"first_name": "first_name_guess", "last_name": "last_name_guess"}
     columns = {}
@@ -323,7 +324,7 @@ def coalesce_cleaned(config: MatchConfig, df: DataFrame, names: DataFrame) -> Da
         if name in guesses:
             value = F.coalesce(guesses[name], column)
         elif name in STANDARD:
-            value = F.coalesce(fits(F.col(STANDARD[name]), 256), fits(F.col(column), 256))
+            value = F.coalesce(F.col(STANDARD[name]).cast("string"), F.col(column).cast("string"))
         else:
             value = F.col(column)
         columns.setdefault(column, value.alias(column))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import codes
 from fieldloom.functions.hashing import hash_coalesced
-from fieldloom.operators.windows import best_per_key
+from fieldloom.operators.windows import best_per_key, lowest_per_key
 
 # fixed values: the columns of the export, in its order
 EXPORT = [
@@ -127,4 +127,4 @@ def people_view(
     )
     if max_records is None:
         return hashed
-    return best_per_key(hashed, ["state_or_province"], [F.col("person_hash"), F.col("source_external_id")], max_records)
+    return lowest_per_key(hashed, ["state_or_province"], "person_hash", ["source_external_id"], max_records)

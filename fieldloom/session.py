@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
-
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -46,17 +42,14 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a folder of its own.
+    Only a local session may do without the setting; its warehouse folder takes its place.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="fieldloom-")
-    return _local_dirs[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -56,16 +56,20 @@ def with_queue_names(df: DataFrame, state_col: str, suffix: str) -> DataFrame:
 
 
 def queue_sink(
-    path: str, columns: Sequence[str], state_col: str, suffix: str, format: str = "parquet"  # noqa: A002
+    path: str, columns: Sequence[str], state_col: str, suffix: str, format: str = "parquet", run: str = "1"  # noqa: A002
 ) -> Sink:
     """A sink writing ``columns`` to one queue per state, e.g. ``queue=IL_sqs_current_load``.
 
-    The queues of the previous run are replaced.
+    Each run has a folder of its own in every queue that it has rows for. A run written
+    again replaces its own folders; the queues of other states and what other runs left
+    to be fetched stay. A run without rows writes nothing.
     """
 
     def write(df: DataFrame) -> None:
         queues = with_queue_names(df, state_col, suffix).select(*columns, "response_table", "queue")
-        writer = queues.hint("rebalance", "queue").write.mode("overwrite").partitionBy("queue")
+        queues = queues.withColumn("run", F.lit(f"run_{run}"))
+        writer = queues.hint("rebalance", "queue").write.mode("overwrite").partitionBy("queue", "run")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
         (writer.option("header", True) if format == "csv" else writer).format(format).save(path)
 
     return write

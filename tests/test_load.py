@@ -105,7 +105,7 @@ def test_queues_per_state(spark, rows, log):
     sink = sinks.queue_sink(path, form.export_cols, form.state_col, form.queue)
     load.IncrementalLoad(log).run(rows(RECORD, record(1), record(2, "D.C."), record(3, "")), sink, "1")
     got = spark.read.parquet(path)
-    assert got.columns == [*form.export_cols, "response_table", "queue"]
+    assert got.columns == [*form.export_cols, "response_table", "queue", "run"]
     assert {(r.queue, r.response_table, r.van_id) for r in got.collect()} == {
         (f"{s}_sqs_current_load", f"{s}_sqs_current_load_r", v) for s, v in (("IL", "1"), ("D.C.", "2"), ("", "3"))
     }
@@ -117,10 +117,22 @@ def test_csv_queue(spark, rows):
     df = rows("van_id string, state_code string", ("1", "IL"), ("2", "NY"))
     sinks.queue_sink(path, ["van_id"], "state_code", "q", format="csv")(df)
     got = spark.read.option("header", True).csv(f"{path}/queue=IL_q")
-    assert [tuple(r) for r in got.collect()] == [("1", "IL_q_r")]
+    assert [tuple(r) for r in got.collect()] == [("1", "IL_q_r", "run_1")]
 
 
-def test_notes_log_cuts_text(spark, rows):
+def test_queues_of_other_states_and_runs_stay(spark, rows):
+    path = session.new_path(spark, "state_queues")
+    for format in ("parquet", "csv"):  # noqa: A001
+        for run, values in (("1", [("1", "IL")]), ("2", [("2", "NY")]), ("3", []), ("4", [("4", "IL")]), ("4", [("5", "IL")])):
+            df = rows("van_id string, state_code string", *values)
+            sinks.queue_sink(f"{path}/{format}", ["van_id"], "state_code", "q", format=format, run=run)(df)
+        got = spark.read.option("header", True).format(format).load(f"{path}/{format}")
+        assert sorted((str(r.van_id), r.queue, r.run) for r in got.collect()) == [
+            ("1", "IL_q", "run_1"), ("2", "NY_q", "run_2"), ("5", "IL_q", "run_4")
+        ]
+
+
+def test_notes_log_keeps_whole_text(spark, rows):
     form = load.notes_format()
     df = rows(
         "van_id string, text string, is_view_restricted boolean, note_category_id int, date_canvassed timestamp_ntz,"
@@ -130,7 +142,7 @@ def test_notes_log_cuts_text(spark, rows):
     log = load.LoadLog(spark, session.new_path(spark, "notes"), form)
     got = []
     load.IncrementalLoad(log).run(df, lambda d: got.extend(d.collect()), "1")
-    assert len(got[0].text) == 300 and len(log.rows().first().text) == 200
+    assert len(got[0].text) == 300 and len(log.rows().first().text) == 300
 
 
 def test_people_export_has_all_columns(rows):

@@ -169,7 +169,7 @@ def test_coalesce_falls_back_to_raw_values(rows):
               (1, "ann marie", "1 Main Street", "12", 0), (None, "x", "y", "z", 0), (2, None, None, "x" * 300, 0))
     tidy = matching.coalesce_cleaned(config, matching.standardise_addresses(config, df), matching.infer_names(config, df))
     got = {r.pk: tuple(r) for r in tidy.collect()}
-    assert got == {1: (1, "Ann ", "1 MAIN ST", "12"), 2: (2, None, None, "x" * 256)}
+    assert got == {1: (1, "Ann ", "1 MAIN ST", "12"), 2: (2, None, None, "x" * 300)}
 
 
 def test_names_of_unmapped_columns(rows):
@@ -224,3 +224,22 @@ def test_custom_rules(rows):
     assert [tuple(r) for r in got.collect()] == [(1, "V1", 0.9)]
     with pytest.raises(ValueError):
         matching.person_index(replace(CONFIG, rules=[MatchRule(0.9, {"zip": "sounds"})]), rows(PERSON, *PEOPLE))
+
+
+def test_index_of_a_repeated_id_and_a_long_name(spark, rows):
+    import pyspark.sql.functions as F
+
+    repeated = spark.range(5000).select(
+        F.lit("P").alias("person_id"), F.lit("V1").alias("voterbase_id"), F.lit("ann").alias("first_name"),
+        F.lit("lee").alias("last_name"), F.lit("il").alias("state_code"), F.lit("1").alias("zip"),
+        F.format_string("%d@x.org", "id").alias("email"),
+    )
+    config = MatchConfig(
+        pii={"primary_key": "pk", "first_name": "f", "last_name": "l", "state_code": "s", "zip": "z", "email": "e"},
+        person={f: f for f in ("first_name", "last_name", "state_code", "zip", "email")},
+    )
+    index = matching.person_index(config, repeated)
+    assert index.groupBy("key").count().agg({"count": "max"}).first()[0] == 1
+    long = repeated.limit(1).withColumn("last_name", F.repeat(F.lit("abcd"), 500))
+    made = matching.person_index(config, long).select(F.length("key").alias("n")).agg({"n": "sum", "*": "count"}).first()
+    assert made["sum(n)"] == 16 * made["count(1)"] and made["count(1)"] < 2100

@@ -94,9 +94,17 @@ def test_count_difference(rows):
     assert tuple(sets.count_difference(b, a).first()) == (0, 2, 2)
 
 
-@pytest.mark.parametrize("n, wanted", [(0, 1), (1, 1), (1_250_000, 1), (1_250_001, 2), (10**9, 3)])
-def test_chunk_count(n, wanted):
-    assert windows.chunk_count(n) == wanted
+@pytest.mark.parametrize("keep", [1, 7, 1500, 2500, 10_000])
+def test_lowest_per_key(spark, keep):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 6 == 0, F.lit("rare")).alias("k"),
+        F.md5(F.col("id").cast("string")).alias("d"),
+        "id",
+    )
+    got = sorted(map(tuple, windows.lowest_per_key(df, ["k"], "d", ["id"], keep).collect()), key=str)
+    rows = [tuple(r) for r in df.collect()]
+    wanted = [r for k in ("hot", "rare", None) for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[1])[:keep]]
+    assert got == sorted(wanted, key=str)
 
 
 def test_chunks_are_even_and_stable(spark):
