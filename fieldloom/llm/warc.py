@@ -84,11 +84,12 @@ def write_archive(
     facts = spark.read.parquet(f"{path}/facts")
     owners = facts.groupBy("key").agg(F.max("page_id").alias("owner"))
 
-    ours = F.col("r.key") == F.col("o.key")
-    owned = rows.alias("r").join(owners.alias("o"), ours & F.col("r.page_id").eqNullSafe(F.col("o.owner")))
-    owned.select("r.key", "r.page_id", "r.payload").dropDuplicates(["key", "page_id"]).select("key", "payload").write.parquet(
-        f"{path}/payloads"
-    )
+    # both sides name a page by text, null by none: the join and the dropping of repeated
+    # rows then share one partitioning, and payloads move once
+    page = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("page")
+    owned = rows.select("key", page("page_id"), "payload").join(owners.select("key", page("owner")), ["key", "page"])
+    stored = owned.dropDuplicates(["key", "page"]).select("key", "payload")
+    stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
     responds = (F.col("size") < min_revisit_bytes) | F.col("page_id").eqNullSafe(F.col("owner"))
     records = facts.join(owners, "key").select(
         "*",
