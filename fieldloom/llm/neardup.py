@@ -19,8 +19,13 @@ the threshold; the common weights of all those are found at once, as a product o
 matrix of their shingles with itself, and the block hands on edges that join what is
 similar, at most one per class. No pair is emitted, so a group of copies of any size
 stays linear in what is written. Buckets with the same members are worked through once.
-First each class is compared in its largest bucket; then, in all buckets, classes that
-are still in different components.
+
+Three rounds find the links. In the first two each class is compared within one block of its
+largest bucket, with another block the second time, so their work grows with the number of
+classes; they join nearly all that a large group of near copies has. The third is exact: in
+every bucket with several components left, all pairs of blocks are compared but those
+within the largest component. A group of copies of any size, once joined, costs no more
+than its members times the blocks of what else shares its buckets.
 
 Defined results: null and empty texts have no words and are copies of each other; texts
 of fewer than five words are one shingle; repeated rows are copies of each other, and of
@@ -38,7 +43,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Stage, components, small_side, words_of
@@ -288,31 +293,73 @@ class _Similar:
         return [(rows[r][4], rows[k][4]) for k, r in enumerate(root) if r != k]
 
 
-def _link(members: DataFrame, samples: DataFrame, texts: DataFrame, weights, similarity, block: int, stage: Stage, name: str):
-    """Edges (a, b) between similar classes; ``members`` are bucket, class, component."""
+def _marks() -> list[Column]:
+    """Two numbers that the members of a bucket give, whatever their order."""
+    return [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(c) for k, c in enumerate("xy")]
+
+
+def _within(members: DataFrame, block: int, salt: int, least: int) -> DataFrame:
+    """Members of buckets of ``least`` rows or more, each in one block of its bucket, by a hash."""
     facts = members.groupBy("bucket").agg(
-        F.count("*").alias("n"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.bit_xor(F.xxhash64("class")).alias("x"),
-        F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *_marks()
+    )
+    chosen = _once(facts.where((F.col("n") >= least) & (F.col("low") != F.col("high"))))
+    blocks = F.ceil(F.col("n") / block).cast("long")
+    dealt = members.join(chosen.select("bucket", blocks.alias("blocks")), "bucket")
+    own = F.pmod(F.xxhash64("class", F.lit(salt)), F.col("blocks"))
+    return dealt.select("bucket", own.alias("left"), own.alias("right"), own.alias("own"), "class", "component")
+
+
+def _across_all(members: DataFrame, block: int) -> DataFrame:
+    """Members of buckets with several components, in pairs of blocks.
+
+    If the largest component of a bucket fills more than a block, it has blocks of its own,
+    which are paired with those of the other members only.
+    """
+    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"), *_marks())
+    facts = parts.groupBy("bucket").agg(
+        F.sum("n").alias("n"),
+        F.max(F.struct("n", "component")).alias("main"),
+        F.count("*").alias("kinds"),
+        F.bit_xor("x").alias("x"),
+        F.bit_xor("y").alias("y"),
+    )
+    chosen = _once(facts.where("kinds > 1"))
+    in_main = F.when(F.col("main.n") > block, F.col("main.n")).otherwise(0)
+    chosen = chosen.select(
+        "bucket",
+        F.ceil((F.col("n") - in_main) / block).cast("long").alias("others"),
+        F.ceil(in_main / block).cast("long").alias("mains"),
+        F.col("main.component").alias("main"),
     )
-    # buckets with the same members are worked through once
-    chosen = facts.where("low <> high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = (
-        members.join(chosen.select("bucket", blocks.alias("blocks")), "bucket")
-        .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("long"))
-        .select(
-            "bucket",
-            "class",
-            "component",
-            "own",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("other"),
-        )
-        .select("bucket", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "class", "component")
+    of_main = (F.col("mains") > 0) & (F.col("component") == F.col("main"))
+    mark = F.xxhash64("class")
+    dealt = members.join(chosen, "bucket").select(
+        "bucket",
+        "class",
+        "component",
+        F.when(of_main, F.col("others") + F.pmod(mark, F.greatest("mains", F.lit(1))))
+        .otherwise(F.pmod(mark, F.col("others")))
+        .alias("own"),
+        F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("others") + F.when(of_main, 0).otherwise(F.col("mains")) - 1)
+        ).alias("other"),
     )
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.select(
+        "bucket", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "class", "component"
+    )
+
+
+def _once(facts: DataFrame) -> DataFrame:
+    """One of the buckets that have the same members, that with the smallest number."""
+    rest = [c for c in facts.columns if c not in ("bucket", "x", "y", "n")]
+    same = facts.groupBy("n", "x", "y").agg(F.min(F.struct("bucket", *rest)).alias("m"))
+    return same.select("n", "m.*")
+
+
+def _link(dealt: DataFrame, samples: DataFrame, texts: DataFrame, weights, similarity: float, stage: Stage, name: str) -> DataFrame:
+    """Edges (a, b) between similar classes of a block; ``dealt`` has the rows of the blocks."""
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def together(df: DataFrame, with_what: DataFrame, column: str) -> DataFrame:
         joined = df.join(with_what, "class").select("bucket", "left", "right", "own", "class", "component", column)
@@ -324,6 +371,21 @@ def _link(members: DataFrame, samples: DataFrame, texts: DataFrame, weights, sim
     return stage.table(similar, f"links_{name}")
 
 
+def _placed(members: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """``members`` (bucket, class) with the component of their class."""
+    if joined is None:
+        return members.withColumn("component", F.col("class"))
+    found = members.join(joined.withColumnRenamed("id", "class"), "class", "left")
+    return found.withColumn("component", F.coalesce("component", "class"))
+
+
+def _joined(joined: DataFrame | None, links: DataFrame, stage: Stage) -> DataFrame:
+    """``id, component`` after ``links`` have joined the components so far."""
+    if joined is not None:
+        links = links.union(joined.select("component", "id"))
+    return components(links, stage)
+
+
 def near_duplicates(
     docs: DataFrame, stage: Stage, similarity: float = 0.8, block: int = 512, max_ids: int = 4_000_000
 ) -> DataFrame:
@@ -364,13 +426,15 @@ def near_duplicates(
     texts, samples = candidates.select("class", "text"), candidates.select("class", "samples")
 
     largest = met.groupBy("class").agg(F.max(F.struct("n", "bucket")).alias("m"))
-    own = largest.select(F.col("m.bucket").alias("bucket"), "class", F.col("class").alias("component"))
-    links = _link(own, samples, texts, weights, similarity, block, stage, "first")
-    joined = components(links, Stage(spark, "first_components")).withColumnRenamed("id", "class")
-    rest = met.select("bucket", "class").join(joined, "class", "left")
-    rest = stage.table(rest.withColumn("component", F.coalesce("component", "class")), "rest")
-    more = _link(rest, samples, texts, weights, similarity, block, stage, "rest")
-    joined = components(links.union(more), Stage(spark, "components"))
+    own = stage.table(largest.select(F.col("m.bucket").alias("bucket"), "class"), "largest")
+    joined = None
+    for name, salt, least in (("first", 1, 2), ("second", 2, block + 1)):
+        dealt = _within(_placed(own, joined), block, salt, least)
+        links = _link(dealt, samples, texts, weights, similarity, stage, name)
+        joined = stage.table(_joined(joined, links, Stage(spark, f"{name}_components")), f"joined_{name}")
+    rest = stage.table(_placed(met.select("bucket", "class"), joined), "rest")
+    more = _link(_across_all(rest, block), samples, texts, weights, similarity, stage, "rest")
+    joined = _joined(joined, more, Stage(spark, "components"))
     placed = facts.join(joined.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )

@@ -220,7 +220,40 @@ def test_near_duplicates_against_brute_force(spark, stage):
             docs.append((len(docs), " ".join(words)))
     docs += [(500, None), (501, ""), (502, "!!"), (503, "one two"), (504, "One, two."), (505, "long " * 40_000), (505, "long " * 40_000), (3, docs[3][1])]
     df = spark.createDataFrame([(*d, "q", 1, 2) for d in docs], "doc_id long, text string, digest string, copies long, bucket long")
-    rows = neardup.near_duplicates(df, stage, block=8).collect()
+    components_match(df, docs, neardup.near_duplicates(df, stage, block=8).collect())
+    assert neardup.near_duplicates(df.limit(0), Stage(spark, "none")).count() == 0
+
+
+def test_large_group_of_near_copies(spark, stage):
+    rng = np.random.default_rng(12)
+    base = prose(rng, 150, 100_000).split()
+    docs = []
+    for k in range(400):
+        words = list(base)
+        for _ in range(k % 5 if k % 20 else 7):  # some lie too far from the rest to be linked
+            words[int(rng.integers(0, len(words)))] = f"new{int(rng.integers(0, 10**6))}"
+        docs.append((k, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    components_match(df, docs, neardup.near_duplicates(df, stage, block=16).collect())
+
+
+def test_blocks_pair_all_that_is_not_joined(spark):
+    members = [(1, k, 7 if k >= 5 else k) for k in range(1000)] + [(2, k, k) for k in range(30)] + [(3, 1, 1), (3, 2, 1)]
+    df = spark.createDataFrame(members, "bucket long, class long, component long")
+    blocks = {}
+    for r in neardup._across_all(df, 10).collect():
+        blocks.setdefault((r["bucket"], r["left"], r["right"]), []).append((r["class"], r["component"], r["own"]))
+    rows = sum(len(b) for (bucket, _, _), b in blocks.items() if bucket == 1)
+    assert rows == 995 + 5 * (1 + 100)  # linear in the joined ones
+    met = {(k[0], *sorted((x[0], y[0]))) for k, b in blocks.items() for x in b for y in b if x[0] != y[0] and (k[1] == k[2] or x[2] != y[2])}
+    for bucket in (1, 2, 3):
+        own = [(c, m) for b, c, m in members if b == bucket]
+        assert all((bucket, x, y) in met for x, m in own for y, n in own if x < y and m != n)
+    once = [r["class"] for r in neardup._within(df, 10, 1, 2).where("bucket = 1").collect()]
+    assert sorted(once) == list(range(1000))
+
+
+def components_match(df, docs, rows):
     assert len(rows) == len(docs)
     weights = neardup.shingle_weights(df)
     numbers = neardup.WordNumbers()
@@ -239,7 +272,6 @@ def test_near_duplicates_against_brute_force(spark, stage):
     assert {r["doc_id"]: r["component_id"] for r in rows} == expected
     kept = Counter(r["component_id"] for r in rows if r["kept"])
     assert set(kept.values()) == {1} and set(kept) == set(expected.values())
-    assert neardup.near_duplicates(df.limit(0), Stage(spark, "none")).count() == 0
 
 
 def test_samples_estimate_the_similarity():
