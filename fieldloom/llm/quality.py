@@ -3,13 +3,16 @@
 The model is one of bytes, ``ORDER`` to a gram, trained on all trusted documents: counts of
 the longest grams, continuation counts of the shorter ones, three discounts per order
 from the counts of counts. Counts, context sums and lower orders are tables sharded by
-gram; joining them gives the interpolated log-probability of every seen gram and the
-back-off weight of every context.
+gram, which grow with the text; joining them gives the interpolated log-probability of
+every seen gram and the back-off weight of every context.
 
-Scoring sums log-probabilities over the bytes of each document. The grams of natural text
-are few beside the text, so a model of at most ``max_rows`` rows (checked) is broadcast;
-a larger one is joined, shard by shard, with the counted grams of the documents. Both ways
-give the same sums.
+Scoring sums log-probabilities over the bytes of each document. Documents are packed into
+chunks of some megabytes; the distinct grams of a chunk are joined with the model, shard by
+shard, and what is found comes back to the chunk. The model is never held in one place.
+
+No trusted document is scored by a model that read it: texts are dealt into two folds by
+hash, each fold has a model of its own in the same tables, and a trusted document is scored
+by that of the other fold. All others are scored by the model of all.
 
 The perplexity of a short text is drawn towards the median of its language, as if
 ``PRIOR`` bytes more had been read. A document is rejected if the log of its perplexity
@@ -30,49 +33,74 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm.common import Stage, small_side
 
-ORDER = 4
+ORDER = 8
 PRIOR = 64
 WIDTH = 4.0
+#: Bytes of text whose grams are looked up together.
+CHUNK = 1 << 21
+#: Models in the tables: of all trusted texts, of the first fold, of the second.
+MODELS = (0, 1, 2)
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")).cast("binary"))
+
+
+def fold() -> Column:
+    """1 or 2: the model that reads a trusted text, besides that of all."""
+    return F.pmod(text_hash(), F.lit(2)).cast("int") + 1
 
 
 def grams_of(text: bytes) -> np.ndarray:
-    """A 32-bit number for each byte: itself and the three before it, zero before the first."""
-    b = np.frombuffer(b"\0" * (ORDER - 1) + text, np.uint8).astype(np.uint32)
+    """A 64-bit number for each byte: itself and the seven before it, zero before the first."""
+    b = np.frombuffer(b"\0" * (ORDER - 1) + text, np.uint8)
     n = len(text)
-    return b[:n] << np.uint32(24) | b[1 : n + 1] << np.uint32(16) | b[2 : n + 2] << np.uint32(8) | b[3 : n + 3]
+    gram = np.zeros(n, np.uint64)
+    for k in range(ORDER):
+        gram = gram << np.uint64(8) | b[k : n + k]
+    return gram
+
+
+def _tail(order: int) -> np.uint64:
+    return np.uint64((1 << (8 * order)) - 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams of the texts and their counts, added up over some megabytes at a time."""
-    held, size = [], 0
+    """Grams of the texts and their counts by fold, added up over some megabytes at a time."""
+    held, size = {1: [], 2: []}, 0
 
     def packed():
-        gram, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint32)]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+        for k, grams in held.items():
+            if grams:
+                gram, n = np.unique(np.concatenate(grams), return_counts=True)
+                n = pa.array(n.astype(np.int64))
+                none = pa.array(np.zeros(len(gram), np.int64))
+                columns = [pa.array(gram.view(np.int64)), n if k == 1 else none, n if k == 2 else none]
+                yield pa.RecordBatch.from_arrays(columns, ["gram", "n1", "n2"])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            held.append(grams_of(text))
+        for text, k in zip(*(c.to_pylist() for c in batch.columns)):
+            held[k].append(grams_of(text))
             size += len(text)
             if size > 1 << 23:
-                yield packed()
-                held, size = [], 0
-    yield packed()
+                yield from packed()
+                held, size = {1: [], 2: []}, 0
+    yield from packed()
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), fold().alias("fold"))
+    counted = texts.mapInArrow(_count, "gram long, n1 long, n2 long").groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
+    return counted.select("gram", (F.col("n1") + F.col("n2")).alias("n0"), "n1", "n2")
 
 
-def _discounts(counts: DataFrame) -> list[float]:
+def _discounts(few: dict[int, int]) -> list[float]:
     """The modified Kneser-Ney discounts for counts of one, two, and three or more."""
-    few = {r[0]: r[1] for r in counts.where("n <= 4").groupBy("n").count().collect()}
     n1, n2, n3, n4 = (float(few.get(k, 0)) for k in (1, 2, 3, 4))
     if not (n1 and n2 and n3):
         return [0.5, 0.75, 0.9]  # too little text to estimate them
@@ -81,101 +109,114 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.1), k - 0.05) for k, d in enumerate(found, 1)]
 
 
+def _counts_of_counts(counts: dict[int, DataFrame]) -> dict[tuple[int, int], dict[int, int]]:
+    """By order and model: how many grams have each count up to four."""
+    rows = None
+    for order, held in counts.items():
+        sums = [F.sum((F.col(f"n{m}") == k).cast("long")) for m in MODELS for k in range(1, 5)]
+        own = held.agg(F.array(*sums).alias("few")).select(F.lit(order).alias("order"), "few")
+        rows = own if rows is None else rows.union(own)
+    few = {r[0]: r[1] for r in rows.collect()}  # a row per order
+    return {(order, m): {k: few[order][4 * m + k - 1] or 0 for k in range(1, 5)} for order in counts for m in MODELS}
+
+
 def train(trusted: DataFrame, stage: Stage) -> DataFrame:
-    """The model: ``order, gram, log_p, log_backoff``.
+    """The models: ``order, gram, is_context, v0, v1, v2``.
 
-    ``log_p`` is that of a gram of ``order`` bytes, ``log_backoff`` that of the gram as a context.
+    A value is the log-probability of a gram of ``order`` bytes, or with ``is_context`` the log
+    of the back-off weight behind the gram; it is null where the model has not read the gram.
     """
     counts = {ORDER: stage.table(count_grams(trusted), f"counts{ORDER}")}
     for order in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND((1 << (8 * order)) - 1)
-        counts[order] = stage.table(counts[order + 1].groupBy(tail.alias("gram")).agg(F.count("*").alias("n")), f"counts{order}")
-    lower = None
-    backoffs = {}
+        kinds = [F.sum((F.col(f"n{m}") > 0).cast("long")).alias(f"n{m}") for m in MODELS]
+        counts[order] = stage.table(counts[order + 1].groupBy(tail.alias("gram")).agg(*kinds), f"counts{order}")
+    few = _counts_of_counts(counts)
+    rows = lower = None
     for order in range(1, ORDER + 1):
-        d1, d2, d3 = _discounts(counts[order])
-        context = F.shiftright("gram", 8).alias("context")
-        sums = counts[order].select(context, "n").groupBy("context").agg(
-            F.sum("n").alias("total"),
-            F.sum((F.col("n") == 1).cast("long")).alias("n1"),
-            F.sum((F.col("n") == 2).cast("long")).alias("n2"),
-            F.sum((F.col("n") > 2).cast("long")).alias("n3"),
-        )
-        left = (d1 * F.col("n1") + d2 * F.col("n2") + d3 * F.col("n3")) / F.col("total")
-        contexts = stage.table(sums.select("context", "total", left.alias("backoff")), f"contexts{order}")
-        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        joined = counts[order].withColumn("context", F.shiftright("gram", 8)).join(contexts, "context")
-        if order == 1:
-            below = F.lit(1 / 256)
-        else:
-            shorter = lower.select(F.col("gram").alias("tail"), F.col("p").alias("below"))
+        context = F.shiftrightunsigned("gram", 8).alias("context")
+        sums, left = [], []
+        for m in MODELS:
+            n, d = F.col(f"n{m}"), _discounts(few[order, m])
+            gone = F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
+            sums += [F.sum(n).alias(f"total{m}"), F.sum(gone).alias(f"gone{m}")]
+            left += [F.when(F.col(f"total{m}") > 0, F.col(f"gone{m}") / F.col(f"total{m}")).alias(f"backoff{m}")]
+        summed = counts[order].select(context, *[f"n{m}" for m in MODELS]).groupBy("context").agg(*sums)
+        contexts = stage.table(summed.select("context", *[f"total{m}" for m in MODELS], *left), f"contexts{order}")
+        joined = counts[order].withColumn("context", context).join(contexts, "context")
+        if order > 1:
+            shorter = lower.select(F.col("gram").alias("tail"), *[F.col(f"p{m}").alias(f"below{m}") for m in MODELS])
             joined = joined.withColumn("tail", F.col("gram").bitwiseAND((1 << (8 * (order - 1))) - 1)).join(shorter, "tail")
-            below = F.col("below")
-        p = (F.col("n") - discount) / F.col("total") + F.col("backoff") * below
-        lower = stage.table(joined.select("gram", p.alias("p")), f"p{order}")
-        backoffs[order] = contexts
-        counts[order] = lower
-    rows = None
-    for order in range(1, ORDER + 1):
-        own = counts[order].select(F.lit(order).alias("order"), "gram", F.log("p").alias("log_p"))
-        if order < ORDER:
-            context = backoffs[order + 1].select(F.col("context").alias("gram"), F.log("backoff").alias("log_backoff"))
-            own = own.join(context, "gram", "full").select(
-                F.lit(order).alias("order"), "gram", "log_p", F.coalesce("log_backoff", F.lit(0.0)).alias("log_backoff")
-            )
-        else:
-            own = own.withColumn("log_backoff", F.lit(0.0))
-        rows = own if rows is None else rows.union(own)
-    none = backoffs[1].select(
-        F.lit(0).alias("order"), F.lit(0).cast("long").alias("gram"), F.lit(float(np.log(1 / 256))).alias("log_p"), F.log("backoff").alias("log_backoff")
-    )
-    return stage.table(rows.union(none), "model")
+        ps = []
+        for m in MODELS:
+            n, d = F.col(f"n{m}"), _discounts(few[order, m])
+            below = F.col(f"below{m}") if order > 1 else F.lit(1 / 256)
+            discount = F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
+            ps.append(F.when(n > 0, (n - discount) / F.col(f"total{m}") + F.col(f"backoff{m}") * below).alias(f"p{m}"))
+        lower = stage.table(joined.select("gram", *ps), f"p{order}")
+        for frame, gram, name, of in ((lower, "gram", "p", order), (contexts, "context", "backoff", order - 1)):
+            values = [F.log(f"{name}{m}").alias(f"v{m}") for m in MODELS]
+            own = frame.select(F.lit(of).alias("order"), F.col(gram).alias("gram"), F.lit(name == "backoff").alias("is_context"), *values)
+            rows = own if rows is None else rows.union(own)
+    return rows
 
 
 @dataclass
 class Tables:
-    """A model in memory: for each order its grams in order, their log-probabilities and back-offs."""
+    """A model, or what a chunk needs of it, in memory: by order its grams in order and their
+    log-probabilities, and its contexts in order and their back-offs."""
+
+    grams: list[tuple[np.ndarray, np.ndarray]]
+    contexts: list[tuple[np.ndarray, np.ndarray]]
 
-    grams: list[np.ndarray]
-    log_p: list[np.ndarray]
-    log_backoff: list[np.ndarray]
+    def log_p(self, grams: np.ndarray) -> np.ndarray:
+        """The log-probability of the last byte of each gram."""
+        total = np.zeros(len(grams))
+        at = np.arange(len(grams))
+        for order in range(ORDER, 0, -1):
+            place, hit = _find(self.grams[order][0], grams)
+            total[at[hit]] += self.grams[order][1][place[hit]]
+            at, grams = at[~hit], grams[~hit]
+            place, hit = _find(self.contexts[order - 1][0], grams >> np.uint64(8))
+            total[at[hit]] += self.contexts[order - 1][1][place[hit]]
+            grams = grams & _tail(order - 1)
+        total[at] += np.log(1 / 256)
+        return total
 
     def total(self, text: bytes) -> float:
         """The log-probability of a text."""
-        grams = grams_of(text)
-        total = 0.0
-        for order in range(ORDER, 0, -1):
-            own = self.grams[order]
-            place = np.minimum(np.searchsorted(own, grams), len(own) - 1)
-            p = self.log_p[order][place]
-            hit = (own[place] == grams) & ~np.isnan(p)
-            total += p[hit].sum()
-            grams = grams[~hit]
-            if not len(grams):
-                return float(total)
-            context = grams >> np.uint32(8)
-            if order > 1:
-                above = self.grams[order - 1]
-                place = np.minimum(np.searchsorted(above, context), len(above) - 1)
-                total += self.log_backoff[order - 1][place][above[place] == context].sum()
-                grams = grams & np.uint32((1 << (8 * (order - 1))) - 1)
-            else:
-                total += len(grams) * (self.log_backoff[0][0] + self.log_p[0][0])
-        return float(total)
+        return float(self.log_p(grams_of(text)).sum())
+
+
+def _find(own: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of what is sought in a sorted array, and whether it is there."""
+    if not len(own):
+        return np.zeros(len(sought), np.int64), np.zeros(len(sought), bool)
+    place = np.minimum(np.searchsorted(own, sought), len(own) - 1)
+    return place, own[place] == sought
+
+
+def _tables(order: np.ndarray, gram: np.ndarray, is_context: np.ndarray, value: np.ndarray) -> Tables:
+    gram = gram.astype(np.int64, copy=False).view(np.uint64)
+    known = ~np.isnan(value)
+    parts = {}
+    for of in (False, True):
+        for k in range(ORDER + 1):
+            mine = known & (order == k) & (is_context == of)
+            g, v = gram[mine], value[mine]
+            by = np.argsort(g)
+            parts[of, k] = g[by], v[by]
+    return Tables([parts[False, k] for k in range(ORDER + 1)], [parts[True, k] for k in range(ORDER + 1)])
 
 
 def in_memory(model: DataFrame) -> Tables:
-    held = model.toPandas().sort_values(["order", "gram"])
-    parts = [held[held["order"] == k] for k in range(ORDER + 1)]
-    return Tables(
-        [p["gram"].to_numpy().astype(np.uint32) for p in parts],
-        [p["log_p"].to_numpy(np.float64) for p in parts],
-        [p["log_backoff"].to_numpy(np.float64) for p in parts],
-    )
+    """The model of all in one place: for small ones, and to compare with."""
+    held = model.select("order", "gram", "is_context", "v0").toPandas()
+    return _tables(*(held[c].to_numpy() for c in ("order", "gram", "is_context")), held["v0"].to_numpy(np.float64))
 
 
 def score_in_memory(docs: DataFrame, tables: Tables, keep: tuple[str, ...], prefix: str = "") -> DataFrame:
-    """The columns ``keep`` with ``log_p`` and ``n_bytes`` of every document."""
+    """As ``score_by_joins``, with a model that is broadcast: to compare with."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
     new = [f"{prefix}log_p", f"{prefix}n_bytes"]
 
@@ -192,41 +233,82 @@ def score_in_memory(docs: DataFrame, tables: Tables, keep: tuple[str, ...], pref
     return source.mapInArrow(score, f"{kept},{new[0]}:double,{new[1]}:bigint")
 
 
-def score_by_joins(docs: DataFrame, model: DataFrame, stage: Stage, keep: tuple[str, ...], prefix: str = "") -> DataFrame:
-    """As ``score_in_memory``, for a model of any size: the counted grams of all documents are
-    joined with the model order by order, unseen ones going on with their back-off."""
+def _texts(rows: pa.Table | pa.RecordBatch, place: int) -> list[bytes]:
+    return [t or b"" for t in rows.column(place).cast(pa.binary()).to_pylist()]
+
+
+def score_by_joins(docs: DataFrame, model: DataFrame, stage: Stage, keep: tuple[str, ...], prefix: str = "", by: Column | None = None) -> DataFrame:
+    """The columns ``keep`` with ``log_p`` and ``n_bytes`` of every document.
+
+    The distinct grams of each chunk of documents are joined with the model, and those found
+    come back to the chunk. ``by`` is the number of the model that scores a document, else 0.
+    """
     new = [f"{prefix}log_p", f"{prefix}n_bytes"]
-    rows = stage.numbered(docs.select(*keep, F.coalesce("text", F.lit("")).cast("binary").alias(f"{prefix}_text")), "scored")
+    columns = [*keep, *([] if "text" in keep else ["text"])]
+    text_at = columns.index("text")
+    source = docs.select(*columns, (F.lit(0) if by is None else by).cast("int").alias(f"{prefix}_by"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for part in held:
+                    out.write_batch(part)
+            return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text in zip(*(c.to_pylist() for c in batch.columns)):
-                gram, n = np.unique(grams_of(text), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(gram), row)), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))],
-                    ["_row", "gram", "n"],
-                )
-
-    left = rows.select("_row", f"{prefix}_text").mapInArrow(count, "_row long, gram long, n long")
-    parts = []
-    for order in range(ORDER, -1, -1):
-        own = model.where(F.col("order") == order)
-        seen = own.where("log_p is not null").select("gram", "log_p")
-        met = stage.table(left.join(seen, "gram", "left"), f"met{order}")
-        parts.append(met.where("log_p is not null").groupBy("_row").agg(F.sum(F.col("n") * F.col("log_p")).alias("s")))
-        if order:
-            unseen = met.where("log_p is null").select("_row", F.shiftright("gram", 8).alias("context"), "gram", "n")
-            backoff = model.where(F.col("order") == order - 1).select(F.col("gram").alias("context"), "log_backoff")
-            unseen = stage.table(unseen.join(backoff, "context", "left"), f"unseen{order}")
-            parts.append(unseen.groupBy("_row").agg(F.sum(F.col("n") * F.coalesce("log_backoff", F.lit(0.0))).alias("s")))
-            left = unseen.select("_row", F.col("gram").bitwiseAND((1 << (8 * (order - 1))) - 1).alias("gram"), "n")
-    sums = parts[0]
-    for p in parts[1:]:
-        sums = sums.union(p)
-    sums = sums.groupBy("_row").agg(F.sum("s").alias("_s"))
-    return rows.join(sums, "_row", "left").select(
-        *keep, F.coalesce("_s", F.lit(0.0)).alias(new[0]), F.length(f"{prefix}_text").cast("long").alias(new[1])
-    )
+            low = 0
+            for i, text in enumerate(_texts(batch, text_at)):
+                size += len(text) + 256
+                if size >= CHUNK:
+                    held.append(batch.slice(low, i + 1 - low))
+                    yield packed()
+                    held, size, low = [], 0, i + 1
+            if low < batch.num_rows:
+                held.append(batch.slice(low))
+        if held:
+            yield packed()
+
+    def sought(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, chunk in zip(*(c.to_pylist() for c in batch.columns)):
+                grams = [grams_of(t) for t in _texts(pa.ipc.open_stream(chunk).read_all(), text_at)]
+                # zeros are the context of a first byte
+                grams = np.unique(np.concatenate([np.zeros(1, np.uint64), *grams]))
+                for order in range(ORDER, -1, -1):
+                    columns = [np.full(len(grams), row), np.full(len(grams), order, np.int32), grams.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_row", "order", "gram"])
+                    if order:
+                        grams = np.unique(grams & _tail(order - 1))
+
+    def score(chunks: pa.Table, found: pa.Table) -> pa.Table:
+        scored = []
+        names = ("order", "gram", "is_context", *(f"v{m}" for m in MODELS))
+        order, gram, is_context, *values = (found.column(c).to_numpy() for c in names)
+        for chunk in chunks.column("chunk").to_pylist():
+            rows = pa.ipc.open_stream(chunk).read_all()
+            texts = _texts(rows, text_at)
+            using = rows.column(len(columns)).to_numpy()
+            sums = np.zeros(len(texts))
+            for m in np.unique(using):
+                mine = np.flatnonzero(using == m)
+                grams = [grams_of(texts[i]) for i in mine]
+                ends = np.cumsum([len(g) for g in grams])
+                distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+                log_p = _tables(order, gram, is_context, values[m]).log_p(distinct)[place]
+                sums[mine] = [log_p[e - len(g) : e].sum() for e, g in zip(ends, grams)]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            scored.append(pa.Table.from_arrays([*rows.columns[: len(keep)], pa.array(sums), sizes], [*keep, *new]))
+        return pa.concat_tables(scored)
+
+    kept = docs.select(*keep).schema.simpleString()[len("struct<") : -1]
+    chunks = stage.numbered(source.mapInArrow(pack, "chunk binary"), "chunks")
+    keys = chunks.select("_row", "chunk").mapInArrow(sought, "_row long, order int, gram long")
+    found = keys.join(model, ["order", "gram"]).select("_row", "order", "gram", "is_context", *[F.col(f"v{m}") for m in MODELS])
+    schema = f"{kept},{new[0]}:double,{new[1]}:bigint"
+    return chunks.groupBy("_row").cogroup(found.groupBy("_row")).applyInArrow(score, schema)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -272,11 +354,23 @@ def judge(scores: DataFrame, limits: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
-def score(docs: DataFrame, model: DataFrame, stage: Stage, keep: tuple[str, ...], prefix: str = "", max_rows: int = 4_000_000) -> DataFrame:
-    """Scores by broadcast if the model holds at most ``max_rows`` rows, else by joins."""
-    if model.count() <= max_rows:
-        return score_in_memory(docs, in_memory(model), keep, prefix)
-    return score_by_joins(docs, model, stage, keep, prefix)
+def _scored(docs: DataFrame, labels: DataFrame, stage: Stage, keep: tuple[str, ...], prefix: str, max_ids: int) -> tuple[DataFrame, DataFrame] | None:
+    """Scores of all documents, and of the trusted ones (lang, text_hash, log_p, n_bytes); nothing
+    without any trusted text."""
+    p = prefix
+    good = small_side(stage.table(trusted_ids(labels), "trusted"), max_ids)
+    model = train(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"), stage)
+    if model.isEmpty():
+        return None
+    marked = docs.join(good.withColumn(f"{p}_trusted", F.lit(True)), "doc_id", "left").select(
+        *[docs[c] for c in docs.columns], F.coalesce(f"{p}_trusted", F.lit(False)).alias(f"{p}_trusted"), text_hash().alias(f"{p}_hash")
+    )
+    by = F.when(F.col(f"{p}_trusted"), 3 - fold()).otherwise(0)  # the fold that did not read the text
+    scores = stage.table(score_by_joins(marked, model, stage, (*keep, f"{p}_trusted", f"{p}_hash"), p, by), "scores")
+    trusted = scores.where(f"{p}_trusted").select(
+        "lang", F.col(f"{p}_hash").alias("text_hash"), F.col(f"{p}log_p").alias("log_p"), F.col(f"{p}n_bytes").alias("n_bytes")
+    )
+    return scores, trusted
 
 
 def rate_documents(docs: DataFrame, labels: DataFrame, stage: Stage, max_ids: int = 4_000_000) -> DataFrame:
@@ -285,25 +379,22 @@ def rate_documents(docs: DataFrame, labels: DataFrame, stage: Stage, max_ids: in
     Trusted are the documents that ``labels`` call good; up to ``max_ids`` of their ids are
     broadcast, more are joined by a shuffle.
     """
-    good = stage.table(trusted_ids(labels), "trusted")
     source = docs.select("doc_id", "lang", "text")
-    model = train(source.join(small_side(good, max_ids), "doc_id", "left_semi"), stage)
-    if not model.count():
+    found = _scored(source, labels, stage, ("doc_id", "lang"), "", max_ids)
+    if found is None:
         return source.select(
             "doc_id", "lang", F.lit(1.0).alias("perplexity"), F.lit(float("inf")).alias("threshold"), F.lit(True).alias("accepted")
         )
-    scores = stage.table(score(source, model, stage, ("doc_id", "lang")), "scores")
-    limits = stage.table(thresholds(scores.join(small_side(good, max_ids), "doc_id", "left_semi")), "limits")
+    scores, trusted = found
+    limits = stage.table(thresholds(trusted), "limits")
     return judge(scores, limits).select("doc_id", "lang", "perplexity", "threshold", "accepted")
 
 
 def accept_documents(docs: DataFrame, labels: DataFrame, stage: Stage, max_ids: int = 4_000_000) -> DataFrame:
     """The rows of ``docs`` that are accepted, with their columns as they are."""
-    good = stage.table(trusted_ids(labels), "trusted")
-    trusted = docs.select("doc_id", "lang", "text").join(small_side(good, max_ids), "doc_id", "left_semi")
-    model = train(trusted, stage)
-    if not model.count():
+    found = _scored(docs, labels, stage, tuple(docs.columns), "_quality_", max_ids)
+    if found is None:
         return docs
-    limits = stage.table(thresholds(score(trusted, model, stage, ("lang",))), "limits")
-    judged = judge(score(docs, model, stage, tuple(docs.columns), prefix="_quality_"), limits, prefix="_quality_")
-    return judged.where("_quality_accepted").select(*docs.columns)
+    scores, trusted = found
+    limits = stage.table(thresholds(trusted), "limits")
+    return judge(scores, limits, prefix="_quality_").where("_quality_accepted").select(*docs.columns)

@@ -329,6 +329,16 @@ def test_quality_keeps_clean_and_rejects_junk(spark, stage, rated):
     assert quality.rate_documents(docs.limit(0), labels, Stage(spark, "empty")).count() == 0
 
 
+def test_quality_is_scored_by_joins_with_a_model_that_grows(spark, stage, monkeypatch):
+    monkeypatch.setattr(quality, "in_memory", None)  # no model is taken to one place
+    rng = np.random.default_rng(13)
+    docs = spark.createDataFrame([doc(k, prose(rng, 200, 5_000)) for k in range(80)], DOCS).localCheckpoint()
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert quality.rate_documents(docs, labels, stage).count() == 80
+    few, many = (quality.count_grams(docs.where(f"doc_id < {n}")).count() for n in (20, 80))
+    assert many > 2 * few
+
+
 # -- pipeline
 
 
