@@ -17,7 +17,10 @@ by that of the other fold. All others are scored by the model of all.
 The perplexity of a short text is drawn towards the median of its language, as if
 ``PRIOR`` bytes more had been read. A document is rejected if the log of its perplexity
 lies more than ``WIDTH`` times as far above its language's trusted median as that
-language's trusted 0.9 quantile does; quantiles withstand the noise in what is trusted.
+language's trusted 0.9 quantile does. Quantiles are those of distinct texts and withstand
+the noise in what is trusted. A language of few distinct trusted texts has its quantiles
+blended with those of all, as if ``SUPPORT`` texts more had been read, and the higher of
+its own and the blended median counts; the distance is at least ``LEAST_SPREAD``.
 
 Defined results: null and empty texts have the median perplexity of their language and are
 kept; languages (null is one) without trusted documents use the quantiles of all; without
@@ -41,6 +44,8 @@ from fieldloom.llm.common import Stage, small_side
 ORDER = 8
 PRIOR = 64
 WIDTH = 4.0
+SUPPORT = 20
+LEAST_SPREAD = 0.02
 #: Bytes of text whose grams are looked up together.
 CHUNK = 1 << 21
 #: Models in the tables: of all trusted texts, of the first fold, of the second.
@@ -318,21 +323,30 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def thresholds(scores: DataFrame) -> DataFrame:
-    """``lang, middle, limit`` from the scores (lang, log_p, n_bytes) of trusted documents: the
-    median of the mean negative log-probability and the rejection limit; a row with
-    ``every`` true holds for languages without trusted documents."""
-    mean = (-F.col("log_p") / F.col("n_bytes")).alias("mean")
-    facts = scores.where("n_bytes > 0").select("lang", mean)
+    """``lang, middle, limit`` from the scores (lang, text_hash, log_p, n_bytes) of trusted
+    documents: the median of the mean negative log-probability and the rejection limit; a row
+    with ``every`` true holds for languages without trusted documents."""
+    mean = F.min(-F.col("log_p") / F.col("n_bytes")).alias("mean")
+    facts = scores.where("n_bytes > 0").groupBy("lang", "text_hash").agg(mean)
 
     def limits(grouped) -> DataFrame:
         return grouped.agg(
-            F.percentile_approx("mean", 0.5, 10_000).alias("middle"), F.percentile_approx("mean", 0.9, 10_000).alias("high")
-        )
-
-    own = limits(facts.groupBy("lang")).withColumn("every", F.lit(False))
-    every = limits(facts.groupBy()).where("middle is not null").withColumn("lang", F.lit(None).cast(scores.schema["lang"].dataType))
-    both = own.unionByName(every.withColumn("every", F.lit(True)))
-    return both.select("lang", "every", "middle", (F.col("middle") + WIDTH * (F.col("high") - F.col("middle"))).alias("limit"))
+            F.count("*").alias("n"), F.percentile_approx("mean", 0.5, 10_000).alias("own"), F.percentile_approx("mean", 0.9, 10_000).alias("high")
+        ).withColumn("spread", F.col("high") - F.col("own"))
+
+    every = limits(facts.groupBy()).first()
+    if not every["n"]:
+        every = {"own": 0.0, "spread": 0.0}
+    share = F.col("n") / (F.col("n") + SUPPORT)
+    blended = share * F.col("own") + (1 - share) * every["own"]
+    spread = F.greatest(share * F.col("spread") + (1 - share) * every["spread"], F.lit(LEAST_SPREAD))
+    middle = F.greatest(blended, "own")
+    own = limits(facts.groupBy("lang")).select("lang", F.lit(False).alias("every"), middle.alias("middle"), (middle + WIDTH * spread).alias("limit"))
+    limit = every["own"] + WIDTH * max(every["spread"], LEAST_SPREAD)
+    common = facts.limit(1).select(
+        F.lit(None).cast(scores.schema["lang"].dataType).alias("lang"), F.lit(True).alias("every"), F.lit(every["own"]).alias("middle"), F.lit(limit).alias("limit")
+    )
+    return own.unionByName(common)
 
 
 def judge(scores: DataFrame, limits: DataFrame, prefix: str = "") -> DataFrame:

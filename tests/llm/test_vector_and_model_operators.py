@@ -339,6 +339,28 @@ def test_quality_is_scored_by_joins_with_a_model_that_grows(spark, stage, monkey
     assert many > 2 * few
 
 
+def test_quality_limits_of_few_or_equal_texts(spark):
+    rows = [("en", k, -float(100 + k % 21), 100) for k in range(200)]
+    rows += [("one", 1000, -150.0, 100)] + [(None, 1001, -90.0, 100)] + [("hot", 1002, -105.0, 100)] * 500
+    rows += [("near", 2000 + k, -105.0, 100) for k in range(500)]  # many texts of the same mean
+    found = quality.thresholds(spark.createDataFrame(rows, "lang string, text_hash long, log_p double, n_bytes long")).collect()
+    limits = {r["lang"]: (r["middle"], r["limit"]) for r in found if not r["every"]}
+    assert set(limits) == {"en", "one", None, "hot", "near"}
+    for lang, (middle, limit) in limits.items():
+        assert limit >= middle + quality.WIDTH * quality.LEAST_SPREAD, lang
+    assert limits["one"][0] == pytest.approx(1.5) and limits[None][0] > 0.9
+
+
+def test_quality_scores_no_trusted_text_by_a_model_that_read_it(spark, stage):
+    rng = np.random.default_rng(14)
+    texts = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(40)) for _ in range(20)]
+    docs = spark.createDataFrame([doc(k % 20 + 100 * (k // 20), texts[k % 20]) for k in range(40)], DOCS)
+    labels = spark.createDataFrame([(k, 1) for k in range(20)], "doc_id long, quality int")
+    rated = {r["doc_id"]: r["perplexity"] for r in quality.rate_documents(docs, labels, stage).collect()}
+    # ids from 100 are copies that are not labelled: the model of all has read their texts
+    assert all(rated[k] > 2 * rated[100 + k] for k in range(20))
+
+
 # -- pipeline
 
 
