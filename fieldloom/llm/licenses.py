@@ -8,7 +8,9 @@ the word finds every such pair. The length filter drops blocks with fewer templa
 than ``need``, the positional filter pairs whose places in both orders leave room for
 too few common words; what is left is counted exactly. Column expressions only.
 
-A block gets the label of the template it contains best: highest containment, then most
+A block gets the labels of all templates it contains, but for those of which another one of
+the same family (``FAMILIES``) is contained better and has their words, but for as many as
+may lack and one at least (gpl-2 beside gpl-3, which differ by one word): highest containment, then most
 common words, then the last label in alphabetical order.
 
 Defined results: null text counts as empty; documents without words or matches are
@@ -55,6 +57,9 @@ TEMPLATES = [
     ("cc0", "to the extent possible under law the author has waived all copyright and related rights to this work"),
 ]
 
+# Labels whose notices differ by a word or two, by family; others are their own.
+FAMILIES = {"gpl-2": "gpl", "gpl-3": "gpl", "lgpl-3": "gpl", "cc-by": "cc", "cc-by-sa": "cc", "cc-by-nc": "cc", "cc-by-nd": "cc"}
+
 #: ``NOT_WORD`` without the line end.
 _NOT_WORD_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -82,13 +87,14 @@ def license_scan(
 
     Base columns come from ``phrases``; ``labels`` adds those of the containment join and
     ``score`` is 1 with a phrase, else the best containment of a block (0 without one).
-    ``delimiter`` is the pattern between blocks.
+    ``delimiter`` is the pattern between blocks, lines by default.
     """
     spark = docs.sparkSession
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, UPPER.lower())
     sets = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates)]
     need = {i: math.ceil(threshold * len(s) - 1e-9) for i, _, s in sets}
     vocabulary = sorted({w for _, _, s in sets for w in s})
+    length = {i: len(text.split()) for i, (_, text) in enumerate(templates)}
 
     if delimiter == "\n":  # parts words once for blocks and phrases
         by_line = docs.select("doc_id", F.regexp_replace(lowered, _NOT_WORD_IN_LINE, " ").alias("_lines"))
@@ -102,21 +108,27 @@ def license_scan(
         )
     places = {p: _places(F.col("_flat"), p) for p in phrases}
     known = F.array(*[F.lit(w) for w in vocabulary])
-    tokens = F.transform("_blocks", lambda b: F.array_intersect(F.split(b, " "), known))
+
+    def told(b: Column) -> Column:
+        return F.struct(F.array_intersect(F.split(F.trim(b), "[ \n]+"), known).alias("tokens"), b.alias("run"))
+
+    lines = F.transform("_blocks", told)
+    none = F.lit(None).cast("string")
     named = F.array(*[F.when(places[p][0] > 0, F.lit(label)) for p, label in phrases.items()])
     least = [places[p][1] for p in phrases] + [F.lit(None)] * 2
     most = [places[p][2] for p in phrases] + [F.lit(None)] * 2
-    scanned = texts.select(
+    alone = F.transform(F.filter("_told", lambda t: F.size(t["tokens"]) > 0), lambda t: F.struct(t["tokens"], none.alias("run")))
+    scanned = texts.withColumn("_told", lines).select(
         "doc_id",
         count_words(F.col("_flat")).alias("n_words"),
         sum((places[p][0] for p in phrases), F.lit(0)).cast("long").alias("n_base"),
         F.least(*least).cast("long").alias("first_word"),
         F.greatest(*most).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.array_compact(named))).alias("_base"),
-        F.filter(tokens, lambda t: F.size(t) > 0).alias("_sets"),
+        alone.alias("_sets"),
     )
     kept = stage.numbered(scanned, "blocks")
-    blocks = kept.select("_row", F.posexplode("_sets").alias("_block", "tokens"))
+    blocks = kept.select("_row", F.posexplode("_sets").alias("_block", "b")).select("_row", "_block", "b.tokens", "b.run")
 
     # at most one row per template word
     counts = {r[0]: r[1] for r in blocks.select(F.explode("tokens").alias("w")).groupBy("w").count().collect()}
@@ -124,29 +136,42 @@ def license_scan(
     prefixes = []
     for i, label, words in sets:
         ordered = sorted(words, key=rank.get)
-        prefixes += [(w, i, label, p, len(words), need[i], words) for p, w in enumerate(ordered[: len(words) - need[i] + 1])]
+        family = FAMILIES.get(label, label)
+        prefixes += [(w, i, label, family, p, len(words), need[i], length[i], words) for p, w in enumerate(ordered[: len(words) - need[i] + 1])]
     index = spark.createDataFrame(
-        prefixes, "word string, template int, label string, t_pos int, t_size int, need int, t_words array<string>"
+        prefixes, "word string, template int, label string, family string, t_pos int, t_size int, need int, length int, t_words array<string>"
     )
     ranks = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, rank[w])])
     ordered_block = F.array_sort(F.transform("tokens", lambda t: F.struct(ranks[t].alias("rank"), t.alias("word"))))
     probes = (
         blocks.where(F.size("tokens") >= min(need.values()))
         .withColumn("_ordered", ordered_block)
-        .select("_row", "_block", "tokens", F.posexplode("_ordered").alias("b_pos", "b"))
+        .select("_row", "_block", "tokens", "run", F.posexplode("_ordered").alias("b_pos", "b"))
         .withColumn("word", F.col("b.word"))
     )
     b_size = F.size("tokens")
     room = F.least(F.col("t_pos"), F.col("b_pos")) + F.least(F.col("t_size") - F.col("t_pos"), b_size - F.col("b_pos"))
-    common = F.size(F.array_intersect("tokens", "t_words"))
-    best = (
+    shared = F.array_sort(F.array_intersect("tokens", "t_words"))
+    pairs = (
         probes.join(F.broadcast(index), "word")  # the templates: a fixed table
         .where((b_size >= F.col("need")) & (room >= F.col("need")))
-        .withColumn("common", common)
-        .where(F.col("common") >= F.col("need"))
-        .groupBy("_row", "_block")
-        .agg(F.max(F.struct((F.col("common") / F.col("t_size")).alias("part"), "common", "label")).alias("m"))
+        .withColumn("words", shared)
+        .where(F.size("words") >= F.col("need"))
+        # by another of its words, a pair comes again
+        .groupBy("_row", "_block", "template")
+        .agg(*[F.first(c).alias(c) for c in ("run", "label", "family", "t_size", "need", "length", "t_words", "words")])
     )
+    in_line = F.struct(F.size("words").alias("common"), F.col("words"))
+    held = in_line
+    match = F.struct((F.col("held.common") / F.col("t_size")).alias("part"), F.col("held.common").alias("common"), "label", F.col("held.words").alias("words"), "t_words", "need")
+    met = pairs.withColumn("held", held).where(F.col("held.common") >= F.col("need"))
+    families = met.groupBy("_row", "_block", "family").agg(F.collect_list(match).alias("ms"))
+
+    def explained(m: Column) -> Column:
+        better = lambda o: F.struct(o["part"], o["common"], o["label"]) > F.struct(m["part"], m["common"], m["label"])
+        return F.exists("ms", lambda o: better(o) & (F.size(F.array_except(m["words"], o["t_words"])) <= F.greatest(F.lit(1), F.size(m["t_words"]) - m["need"])))
+
+    best = families.select("_row", F.explode(F.filter("ms", lambda m: ~explained(m))).alias("m"))
     found = best.groupBy("_row").agg(F.collect_set("m.label").alias("_found"), F.max("m.part").alias("_part"))
     none = F.array().cast("array<string>")
     return (

@@ -85,6 +85,18 @@ def test_license_join_equals_all_pairs(spark, stage):
         assert got[k] == expected, text
 
 
+def test_license_all_notices_of_a_block(rows, stage):
+    gpl = "This work is licensed under the GNU General Public License version 3"
+    values = [
+        doc(1, gpl + " and licensed under CC BY SA 4.0"),
+        doc(2, gpl + " or version 2"),
+        doc(3, gpl.replace("General", "Lesser General")),
+        doc(4, "licensed under cc by nd 4 0 " + "redistribution and use in source and binary forms with or without modification are permitted"),
+    ]
+    found = {k[0]: r["labels"] for k, r in scan(stage, rows(DOCS, *values)).items()}
+    assert found == {1: "cc-by-sa,gpl-3", 2: "gpl-3", 3: "lgpl-3", 4: "bsd-3,cc-by-nd"}
+
+
 # -- HTML
 
 
