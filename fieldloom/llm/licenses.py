@@ -8,6 +8,10 @@ the word finds every such pair. The length filter drops blocks with fewer templa
 than ``need``, the positional filter pairs whose places in both orders leave room for
 too few common words; what is left is counted exactly. Column expressions only.
 
+Blocks are lines, and what is wrapped over lines: a run of lines with words of which none
+holds a template alone. In a run, only words that stand together count: as many in a row, over
+a line end, as the template has.
+
 A block gets the labels of all templates it contains, but for those of which another one of
 the same family (``FAMILIES``) is contained better and has their words, but for as many as
 may lack and one at least (gpl-2 beside gpl-3, which differ by one word): highest containment, then most
@@ -75,6 +79,24 @@ def _places(flat: Column, phrase: str) -> tuple[Column, Column, Column]:
     return F.when(found, n).otherwise(0), F.when(found, before), F.when(found, last)
 
 
+def _wrapped(run: Column, t_words: Column, length: Column) -> Column:
+    """``common, words`` of the ``length`` words in a row, over a line end of ``run``, that hold
+    most words of a template; null without any."""
+    lines = F.transform(F.split(run, "\n"), lambda line, i: F.transform(F.split(F.trim(line), " "), lambda w: F.struct(w.alias("w"), i.alias("i"))))
+
+    def windows(words: Column) -> Column:
+        def window(k: Column) -> Column:
+            held = F.slice(words, k, length)
+            own = F.array_sort(F.array_intersect(held["w"], t_words))
+            over = F.element_at(held, 1)["i"] < F.element_at(held, -1)["i"]
+            return F.when(over, F.struct(F.size(own).alias("common"), own.alias("words")))
+
+        return F.array_max(F.transform(F.sequence(F.lit(1), F.size(words)), window))
+
+    # the words are made once for all windows
+    return F.element_at(F.transform(F.array(F.flatten(lines)), windows), 1)
+
+
 def license_scan(
     docs: DataFrame,
     stage: Stage,
@@ -112,7 +134,15 @@ def license_scan(
     def told(b: Column) -> Column:
         return F.struct(F.array_intersect(F.split(F.trim(b), "[ \n]+"), known).alias("tokens"), b.alias("run"))
 
+    def holds(tokens: Column) -> Column:
+        each = [F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in s]))) >= need[i] for i, _, s in sets]
+        return (F.size(tokens) >= min(need.values())) & F.coalesce(*[F.when(e, True) for e in each], F.lit(False))
+
     lines = F.transform("_blocks", told)
+    unexplained = F.transform("_told", lambda t: F.when(holds(t["tokens"]), "").otherwise(t["run"]))
+    # what has no line end is one of the lines
+    runs = F.filter(F.split(F.array_join(unexplained, "\n"), r"\n *(?:\n *)+"), lambda r: F.trim(F.translate(r, "\n", " ")) != "")
+    runs = F.transform(F.filter(runs, lambda r: r.contains("\n")), told)
     none = F.lit(None).cast("string")
     named = F.array(*[F.when(places[p][0] > 0, F.lit(label)) for p, label in phrases.items()])
     least = [places[p][1] for p in phrases] + [F.lit(None)] * 2
@@ -125,7 +155,7 @@ def license_scan(
         F.least(*least).cast("long").alias("first_word"),
         F.greatest(*most).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.array_compact(named))).alias("_base"),
-        alone.alias("_sets"),
+        F.concat(alone, F.filter(runs, lambda t: holds(t["tokens"]))).alias("_sets"),
     )
     kept = stage.numbered(scanned, "blocks")
     blocks = kept.select("_row", F.posexplode("_sets").alias("_block", "b")).select("_row", "_block", "b.tokens", "b.run")
@@ -162,7 +192,7 @@ def license_scan(
         .agg(*[F.first(c).alias(c) for c in ("run", "label", "family", "t_size", "need", "length", "t_words", "words")])
     )
     in_line = F.struct(F.size("words").alias("common"), F.col("words"))
-    held = in_line
+    held = F.when(F.col("run").isNull(), in_line).otherwise(_wrapped(F.col("run"), F.col("t_words"), F.col("length")))
     match = F.struct((F.col("held.common") / F.col("t_size")).alias("part"), F.col("held.common").alias("common"), "label", F.col("held.words").alias("words"), "t_words", "need")
     met = pairs.withColumn("held", held).where(F.col("held.common") >= F.col("need"))
     families = met.groupBy("_row", "_block", "family").agg(F.collect_list(match).alias("ms"))

@@ -85,6 +85,19 @@ def test_license_join_equals_all_pairs(spark, stage):
         assert got[k] == expected, text
 
 
+def test_license_notices_wrapped_over_lines(rows, stage):
+    gpl = "a b\n * This work is licensed under the GNU\n * General Public License,\n * version 2.\n *\n * b"
+    mit = "Copyright\n\n" + "\n".join(
+        ["Permission is hereby granted, free of charge, to any", "person obtaining a copy of this software and associated",
+         'documentation files (the "Software"), to deal in the', "Software without restriction, including"]
+    )
+    apart = "This work is licensed under\n\nthe GNU General Public License version 2"
+    far = "licensed under cc by\nx y z x y z x y z\n4 0"
+    beside = "x\nLicensed under CC BY NC 4.0\nnd nd x"
+    found = {k[0]: r["labels"] for k, r in scan(stage, rows(DOCS, *[doc(k, t) for k, t in enumerate([gpl, mit, apart, far, beside])])).items()}
+    assert found == {0: "gpl-2", 1: "mit", 2: "", 3: "", 4: "cc-by-nc"}
+
+
 def test_license_all_notices_of_a_block(rows, stage):
     gpl = "This work is licensed under the GNU General Public License version 3"
     values = [
