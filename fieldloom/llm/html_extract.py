@@ -3,7 +3,8 @@
 1. A page is read into lines, one per block element. Lines in menus, headers, footers,
    sidebars, notices, adverts, forms and reader comments are boilerplate by structure;
    lines in an ``article`` or ``main`` element are content; the others are undecided,
-   unless the page has an article: then lines outside are boilerplate.
+   but for those behind the first line of an article or main element, which are boilerplate
+   if such elements hold at least as much text as all undecided lines.
 2. Pages of a host are put in order of their URL paths. Each is compared with its
    neighbour whose path shares more leading characters (the one before, if equal) by a
    longest common subsequence of lines; undecided lines that are shared are deleted. If
@@ -141,9 +142,14 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     if at < len(page):
         held.append(html.unescape(page[at:]))
     close()
-    if seen_content:
-        return [(t, BOILERPLATE if k == UNDECIDED else k) for t, k in lines]
-    return lines
+    if not seen_content:
+        return lines
+    # headline and lede stand before the article; articles of little text are teasers beside the body
+    sizes = {kind: sum(len(t) for t, k in lines if k == kind) for kind in (CONTENT, UNDECIDED)}
+    if sizes[UNDECIDED] > sizes[CONTENT]:
+        return lines
+    first = next(i for i, (_, k) in enumerate(lines) if k == CONTENT)
+    return [(t, BOILERPLATE if k == UNDECIDED and i > first else k) for i, (t, k) in enumerate(lines)]
 
 
 def common_lines(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:

@@ -174,6 +174,17 @@ def test_html_differencing(rows, stage, limit):
     assert html_extract.extract_text(rows(PAGES).limit(0), Stage(stage.spark, "none")).count() == 0
 
 
+def test_html_lines_outside_articles_are_differenced(rows, stage):
+    headed = "<body><p>Site name</p><h1>{0} headline</h1><article><p>{0} text</p><p>of the article</p></article><p>x</p></body>"
+    cards = "<body><p>Site name</p><div>{0}</div><article><p>teaser</p></article><p>Imprint of all</p></body>"
+    values = [page(k, f"http://h.x/a/{k}", headed.format(w)) for k, w in ((1, "first"), (2, "second"))]
+    values += [page(k, f"http://c.x/a/{k}", cards.format(w)) for k, w in ((3, "third page body"), (4, "fourth page body"))]
+    assert extracted(rows(PAGES, *values), stage) == {
+        1: "first headline\nfirst text\nof the article", 2: "second headline\nsecond text\nof the article",
+        3: "third page body\nteaser", 4: "fourth page body\nteaser",
+    }
+
+
 # -- WARC
 
 
