@@ -1,8 +1,8 @@
-"""One best row per key, and chunk numbers."""
+"""One best row per key, places in an order, chunks and tiles."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,3 +47,39 @@ def chunk_of(key: Column, chunks: int) -> Column:
     """
     number = F.conv(F.substring(F.md5(key.cast("string")), 1, 15), 16, 10).cast("bigint")
     return (F.pmod(F.coalesce(number, F.lit(0)), F.lit(chunks)) + 1).cast("int")
+
+
+def numbered(
+    df: DataFrame, order: Sequence[Column], write: Callable[[DataFrame, str], DataFrame], name: str = "number"
+) -> DataFrame:
+    """``df`` with the place of each row in ``order``, from 0, as column ``name``.
+
+    Rows are dealt by range, sorted within the parts and written once by ``write`` (a
+    stage table); a row's number is its place in its part plus the rows of the parts
+    before. Rows that ``order`` holds equal are spread over parts as well, so neither
+    a window over all rows nor a frequent value brings them into one task. What is
+    broadcast has one row per shuffle partition, whatever the data.
+    """
+    tie, part, at = f"_{name}_tie", f"_{name}_part", f"_{name}_at"
+    keys = [*order, F.col(tie)]
+    dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = write(dealt.drop(tie).withColumn(part, F.spark_partition_id()).withColumn(at, inside), name)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(part).agg(F.count("*").alias("_n"))
+    offsets = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    met = placed.join(F.broadcast(offsets), part)
+    return met.withColumn(name, F.col("_offset") + F.col(at)).drop("_offset", part, at)
+
+
+def tile_of(number: Column, rows: Column | int, tiles: int) -> Column:
+    """Tile 1..tiles of a row by its ``number`` from 0; the first tiles take the rows left over.
+
+    Tiles differ by one row at most, as those of ``ntile`` do.
+    """
+    rows = rows if isinstance(rows, Column) else F.lit(rows)
+    small, more = F.floor(rows / tiles), F.pmod(rows, F.lit(tiles))
+    large = more * (small + 1)
+    within = F.when(number < large, F.floor(number / (small + 1)))
+    # without a whole row per tile every row lies in a large one
+    return (within.otherwise(more + F.floor((number - large) / F.greatest(small, F.lit(1)))) + 1).cast("int")
