@@ -92,4 +92,57 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM c
 """
 
-ORACLE: dict[str, str] = {"op1_license_scan": OP1, "op3_warc_archive": OP3, "op7_chat_format": OP7}
+# crc32 from its polynomial, over the bytes of column ``h`` in hexadecimal
+_CRC_TABLE = """SELECT list(v ORDER BY i) AS crc_table FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))"""
+_CRC = """xor(list_reduce(list_concat([4294967295],
+  [('0x' || substr(h, (2 * i + 1)::INT, 2))::BIGINT FOR i IN range(length(h) // 2)]),
+  lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+OP11 = f"""
+WITH crc AS ({_CRC_TABLE}),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM benchmark),
+runs AS (
+  SELECT true AS target, NULL AS r, unnest(flatten([[array_to_string(ws[i:i + n], ' ') FOR i IN range(1, len(ws) - n + 1)]
+    FOR n IN range(3)])) AS g FROM b
+  UNION ALL
+  SELECT false, r, unnest(flatten([[array_to_string(ws[i:i + n], ' ') FOR i IN range(1, len(ws) - n + 1)]
+    FOR n IN range(3)])) FROM d
+),
+counted AS (SELECT target, r, g, count(*) AS n FROM runs GROUP BY ALL),
+texts AS (SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM counted)),
+named AS (SELECT g, {_CRC} % 10000 AS bucket FROM texts, crc),
+features AS (SELECT target, r, bucket, sum(n) AS n FROM counted JOIN named USING (g) GROUP BY ALL),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE target), 0) AS t, coalesce(sum(n) FILTER (WHERE NOT target), 0) AS s
+  FROM features GROUP BY bucket
+),
+sums AS (SELECT sum(t) AS all_t, sum(s) AS all_s FROM totals),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS gain
+  FROM totals, sums
+),
+weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM features JOIN gains USING (bucket) WHERE NOT target GROUP BY r
+),
+scored AS (
+  SELECT r, doc_id, len(ws)::BIGINT AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)
+),
+placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 5 * count(*) OVER () // 100 AS drawn FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END::BIGINT AS rank, n_words
+FROM scored LEFT JOIN placed USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": OP1,
+    "op3_warc_archive": OP3,
+    "op7_chat_format": OP7,
+    "op11_importance_resampling": OP11,
+}

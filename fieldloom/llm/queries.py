@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, decontamination, embeddings, html_extract, licenses, neardup, packing, quality, toxicity, warc
+from fieldloom.llm import (
+    chat,
+    decontamination,
+    embeddings,
+    html_extract,
+    importance,
+    licenses,
+    neardup,
+    packing,
+    quality,
+    toxicity,
+    warc,
+)
 from fieldloom.llm.common import Stage, table
 
 
@@ -99,6 +111,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "lang", "perplexity", "threshold", F.col("accepted").alias("kept"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = importance.resample(docs, target, Stage(spark, "importance"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -110,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_importance_resampling": op11_importance_resampling,
 }
