@@ -140,9 +140,50 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place EN
 FROM scored LEFT JOIN placed USING (r)
 """
 
+OP12 = f"""
+WITH crc AS ({_CRC_TABLE}),
+turns AS (
+  SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    octet_length(encode(coalesce(text, ''))) AS b,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+lists AS (SELECT conv_id, list(k ORDER BY p) AS ks, list(b ORDER BY p) AS bs FROM turns GROUP BY conv_id),
+lent AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS lender, {_CRC} % 9 AS n
+  FROM (SELECT conv_id, hex(encode(conv_id::VARCHAR)) AS h FROM lists), crc
+),
+built AS (
+  SELECT lists.conv_id, list_concat(coalesce(l.ks, [])[1:n], lists.ks[n + 1:]) AS ks,
+    list_concat(coalesce(l.bs, [])[1:n], lists.bs[n + 1:]) AS bs
+  FROM lists JOIN lent USING (conv_id) LEFT JOIN lists l ON l.conv_id = lender
+),
+members AS (
+  SELECT conv_id, d AS depth, array_to_string(ks[1:d], '') AS path, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS b, d = len(ks) AS is_end
+  FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM built)
+),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(b) AS saved,
+    count(*) FILTER (WHERE is_end) AS n_ends,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM members GROUP BY path, depth
+),
+kids AS (SELECT p.path, count(c.path) AS n FROM nodes p LEFT JOIN nodes c ON c.depth = p.depth + 1 AND left(c.path, 64 * p.depth) = p.path GROUP BY p.path),
+whole AS (
+  SELECT a.path, sum(x.saved) AS saved, count(*) FILTER (WHERE k.n = 0) AS leaves
+  FROM nodes x JOIN kids k USING (path) JOIN nodes a ON a.depth <= x.depth AND left(x.path, 64 * a.depth) = a.path GROUP BY a.path
+)
+SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, nodes.n_convs::BIGINT AS n_convs,
+  kids.n::BIGINT AS n_children, leaves::BIGINT AS n_leaves, whole.saved::BIGINT AS saved_tokens, nodes.ends_sha256,
+  nodes.n_ends::BIGINT AS n_ends
+FROM nodes JOIN kids USING (path) JOIN whole USING (path)
+  LEFT JOIN nodes p ON p.depth = nodes.depth - 1 AND left(nodes.path, 64 * p.depth) = p.path
+"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": OP1,
     "op3_warc_archive": OP3,
     "op7_chat_format": OP7,
     "op11_importance_resampling": OP11,
+    "op12_prefix_trie": OP12,
 }

@@ -15,7 +15,9 @@ from fieldloom.llm import (
     importance,
     licenses,
     neardup,
+    order_minhash,
     packing,
+    prefix_trie,
     quality,
     toxicity,
     warc,
@@ -117,6 +119,23 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over conversations that borrow up to 8 first turns from that with the next id below divisible by 5."""
+    stage = Stage(spark, "trie")
+    placed = prefix_trie.place_turns(table(spark, sf_dir, "conversations"), stage)
+    known = stage.table(prefix_trie.conversations(placed), "known")
+    turns, lengths = prefix_trie.lend_first_turns(
+        placed, known, lambda c: c - c % 5, lambda c: F.crc32(c.cast("string").cast("binary")) % 9, most=8
+    )
+    return prefix_trie.prefix_trie(turns, lengths, stage).withColumnRenamed("saved_bytes", "saved_tokens")
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.fingerprint_documents(table(spark, sf_dir, "documents"), Stage(spark, "order_minhash"))
+    as_text = {c: order_minhash.fingerprint_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(as_text)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -129,4 +148,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_order_minhash": op13_order_minhash,
 }
