@@ -135,12 +135,9 @@ def bucket_gains(documents: DataFrame, target: DataFrame, n_buckets: int = N_BUC
     s, t = documents.select("bucket", F.col("total").alias("s")), target.select("bucket", F.col("total").alias("t"))
     both = documents.sparkSession.range(n_buckets).select(F.col("id").alias("bucket"))
     both = both.join(s, "bucket", "left").join(t, "bucket", "left").na.fill(0, ["s", "t"])
-    sums = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    share = lambda part, whole: (F.col(part) + 1).cast("double") * (F.col(whole) + n_buckets).cast("double")
-    # one row of sums beside one row per bucket
-    return both.crossJoin(F.broadcast(sums)).select(
-        "bucket", F.floor(1000 * F.log(share("t", "all_s") / share("s", "all_t"))).alias("gain")
-    )
+    all_s, all_t = both.agg(F.sum("s"), F.sum("t")).first()
+    share = lambda part, whole: (F.col(part) + 1).cast("double") * F.lit(float(whole + n_buckets))
+    return both.select("bucket", F.floor(1000 * F.log(share("t", all_s) / share("s", all_t))).alias("gain"))
 
 
 def weigh(counted: DataFrame, gains: np.ndarray) -> DataFrame:
