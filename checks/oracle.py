@@ -53,6 +53,7 @@ sql("src_scan", [], "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
 sql("src_param_sql", [], "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000")
 sql("sink_replace", [], "SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0")
 sql("ctas_keyed_layout", [], "SELECT o_custkey, o_orderkey, o_orderdate FROM orders")
+sql("join_keyed", [], "SELECT c_custkey AS o_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)")
 sql("sink_csv", [], "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 sql(
     "catalog_exists",
@@ -277,7 +278,13 @@ _QUEUES = """SELECT van_id, survey_question_id, survey_response_id, input_type_i
               state_code || '_sqs_current_load' AS queue, state_code || '_sqs_current_load_r' AS response_table
        FROM records"""
 sql("export_queue", _CHAIN_INPUTS, _QUEUES, records=_FIRST_CHOICE)
-sql("export_queue_runs", _CHAIN_INPUTS, _QUEUES + " WHERE state_code IN ('IL', 'NY')", records=_FIRST_CHOICE)
+_BY_RUN = _QUEUES.replace("\n       FROM records", ", {} AS run\n       FROM records")
+sql(
+    "export_queue_runs",
+    _CHAIN_INPUTS,
+    _BY_RUN.format("CASE state_code WHEN 'IL' THEN 'run_a' ELSE 'run_b' END") + " WHERE state_code IN ('IL', 'NY')",
+    records=_FIRST_CHOICE,
+)
 
 # --- loads -----------------------------------------------------------------------------------
 
@@ -303,13 +310,35 @@ sql(
     pending=_PENDING,
 )
 sql("load_semi_attempts", ["joined_contact"], "SELECT * FROM log WHERE sq_hash IN (SELECT sq_hash FROM fresh)", **_STEPS)
+for _name in ("load_cycle_second_run", "load_compacted"):
+    sql(
+        _name,
+        ["joined_contact"],
+        f"""SELECT {_LOG_COLUMNS}, true AS loaded, '1' AS run_id FROM early
+            UNION ALL SELECT {_LOG_COLUMNS}, true, '2' FROM records WHERE sq_hash NOT IN (SELECT sq_hash FROM early)""",
+        records=_SUPPORT_VIEW,
+        early=f"SELECT * FROM records WHERE contacttimestamp < TIMESTAMP '{queries.LOADED_BEFORE}'",
+    )
+
+_THIRD = f"""CASE WHEN contacttimestamp < TIMESTAMP '{queries.LOADED_BEFORE}' THEN '1'
+                  WHEN contacttimestamp < TIMESTAMP '{queries.TRIED_BEFORE}' THEN '2' ELSE '3' END"""
+_ANSWERING = ", ".join(map(_quoted, queries.ANSWERING))
+_TAKEN_IN = f"({_THIRD} = '1' OR {_THIRD} = '2' AND state_code IN ({_ANSWERING}))"
+sql(
+    "load_receipts",
+    ["joined_contact"],
+    f"SELECT {_LOG_COLUMNS}, {_TAKEN_IN} AS loaded, {_THIRD} AS run_id FROM records",
+    records=_SUPPORT_VIEW,
+)
+sql("export_receipts", ["joined_contact"], _BY_RUN.format(f"'run_' || {_THIRD}"), records=_SUPPORT_VIEW)
 sql(
-    "load_cycle_second_run",
+    "export_manifest",
     ["joined_contact"],
-    f"""SELECT {_LOG_COLUMNS}, true AS loaded, '1' AS run_id FROM early
-        UNION ALL SELECT {_LOG_COLUMNS}, true, '2' FROM records WHERE sq_hash NOT IN (SELECT sq_hash FROM early)""",
+    f"""SELECT {_THIRD} AS run_id, state_code || '_sqs_current_load' AS queue,
+               state_code || '_sqs_current_load_r' AS response_table, count(*) AS rows,
+               CASE WHEN {_TAKEN_IN} THEN 'answered' ELSE 'sent' END AS state
+        FROM records GROUP BY ALL""",
     records=_SUPPORT_VIEW,
-    early=f"SELECT * FROM records WHERE contacttimestamp < TIMESTAMP '{queries.LOADED_BEFORE}'",
 )
 sql(
     "load_stream",

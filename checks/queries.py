@@ -15,6 +15,7 @@ from fieldloom.functions import codes, dates, hashing, lists, runs, text, zones
 from fieldloom.operators import joins, sets, windows
 from fieldloom.plans import audit, load, matching, notes, people, survey
 from fieldloom.sources import sinks, tables
+from fieldloom.sources.versions import VersionedTable
 from fieldloom.streaming.load_stream import load_stream as start_load_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,17 +52,29 @@ def src_param_sql(spark, sf):
 
 @query
 def sink_replace(spark, sf):
-    path = session.new_path(spark, "replace")
-    sinks.replace_table(frame(spark, sf, "customer"), path)
-    # the second write reads the table that it replaces
-    old = tables.scan(spark, path)
-    return sinks.replace_table(old.where("c_acctbal >= 0").select("c_custkey", "c_name"), path)
+    table = VersionedTable(spark, session.new_name("replaced"))
+    table.publish(frame(spark, sf, "customer"))
+    # the second version reads the one that it replaces, and has other columns
+    return table.publish(table.read().where("c_acctbal >= 0").select("c_custkey", "c_name"))
 
 
 @query
 def ctas_keyed_layout(spark, sf):
+    """Orders laid out by customer, made whole, then replaced by themselves with what follows."""
     df = frame(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return sinks.write_keyed(df, session.new_path(spark, "keyed"), "o_custkey")
+    table = VersionedTable(spark, session.new_name("keyed_orders"), key="o_custkey", buckets=8)
+    table.publish(df.where("o_custkey % 2 = 0"))
+    table.append(df.where("o_custkey % 2 = 1"))
+    return table.publish(table.read())
+
+
+@query
+def join_keyed(spark, sf):
+    """Customers without a large order, against orders bucketed by customer."""
+    orders = VersionedTable(spark, session.new_name("orders_by_customer"), key="o_custkey", buckets=8)
+    orders.publish(frame(spark, sf, "orders").where("o_totalprice > 250000").select("o_custkey", "o_orderkey"))
+    customers = frame(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return joins.without_keys(customers, "o_custkey", orders.read())
 
 
 @query
@@ -111,22 +124,20 @@ def agg_count_diff(spark, sf):
 @query
 def export_queue(spark, sf):
     """Survey records written to one queue per state, read back."""
-    form = load.survey_format()
-    path = session.new_path(spark, "queues")
-    sinks.queue_sink(path, form.export_cols, form.state_col, form.queue)(view_survey(spark, sf))
-    return spark.read.parquet(path).drop("run")
+    sink = _queues(spark, load.survey_format())
+    sink(view_survey(spark, sf), "1")
+    return spark.read.parquet(sink.path).drop("run")
 
 
 @query
 def export_queue_runs(spark, sf):
-    """Two runs for a state each and one without rows, over the same queues."""
+    """Loads of two states over the same queues, and one that finds nothing new."""
     form = load.survey_format()
-    path = session.new_path(spark, "queues")
+    sink, job = _queues(spark, form), load.IncrementalLoad(_log(spark, "queue_log", form))
     records = view_survey(spark, sf)
-    for run, state in (("1", "IL"), ("2", "NY"), ("3", "no such state")):
-        sink = sinks.queue_sink(path, form.export_cols, form.state_col, form.queue, run=run)
-        sink(records.where(F.col("state_code") == state))
-    return spark.read.parquet(path).drop("run")
+    for run, states in (("a", ["IL"]), ("b", ["IL", "NY"]), ("c", ["NY"])):
+        job.run(records.where(F.col("state_code").isin(states)), sink, run)
+    return spark.read.parquet(sink.path)
 
 
 # --- column functions -----------------------------------------------------------
@@ -375,8 +386,12 @@ def load_semi_attempts(spark, sf):
     return joins.with_keys(log, "sq_hash", new)
 
 
-def _write_queues(spark, form):
-    return sinks.queue_sink(session.new_path(spark, "queues"), form.export_cols, form.state_col, form.queue)
+def _queues(spark, form):
+    return sinks.QueueSink(session.new_path(spark, "queues"), form.export_cols, form.state_col, form.queue)
+
+
+def _log(spark, name, form):
+    return load.LoadLog(spark, session.new_name(name), form, buckets=8)
 
 
 @query
@@ -386,19 +401,82 @@ def load_cycle_second_run(spark, sf):
     The second run takes only what the first has not loaded.
     """
     form = load.survey_format()
-    log = load.LoadLog(spark, session.new_path(spark, "survey_log"), form)
+    log = _log(spark, "survey_log", form)
     job = load.IncrementalLoad(log)
     records = view_support(spark, sf)
-    job.run(records.where(F.col("contacttimestamp") < LOADED_BEFORE), _write_queues(spark, form), "1")
-    job.run(records, _write_queues(spark, form), "2")
+    job.run(records.where(F.col("contacttimestamp") < LOADED_BEFORE), _queues(spark, form), "1")
+    job.run(records, _queues(spark, form), "2")
     return log.rows()
 
 
+@query
+def load_compacted(spark, sf):
+    """The same log, compacted after each run."""
+    form = load.survey_format()
+    log = _log(spark, "compact_log", form)
+    job, sink = load.IncrementalLoad(log), _queues(spark, form)
+    records = view_support(spark, sf)
+    for run, seen in (("1", records.where(F.col("contacttimestamp") < LOADED_BEFORE)), ("2", records)):
+        job.run(seen, sink, run)
+        log.compact()
+    return log.rows()
+
+
+ANSWERING = ["CALIFORNIA", "FL", "IL", "NY", "TEXAS", "WA"]
+
+
+def _three_runs(spark, sf, name):
+    """Three runs over one path; all queues of the first are answered, and some of the second.
+
+    What the second has sent elsewhere is still to be fetched when the third runs.
+    """
+    form = load.survey_format()
+    log, sink = _log(spark, name, form), _queues(spark, form)
+    answers = session.new_path(spark, "answers")
+    job = load.IncrementalLoad(log, sinks.answers_in(spark, answers))
+
+    def receive(run, states=None):
+        """What a receiver does: take a queue in, then write its answer."""
+        for queue in log.in_state("sent"):
+            if queue["run_id"] == run and (states is None or queue["queue"].split("_")[0] in states):
+                taken = spark.read.parquet(f"{sink.path}/queue={queue['queue']}/run=run_{run}")
+                taken.write.parquet(f"{answers}/{queue['response_table']}/run=run_{run}")
+
+    records = view_support(spark, sf)
+    job.run(records.where(F.col("contacttimestamp") < LOADED_BEFORE), sink, "1")
+    receive("1")
+    job.run(records.where(F.col("contacttimestamp") < TRIED_BEFORE), sink, "2")
+    receive("2", ANSWERING)
+    job.run(records, sink, "3")
+    return log, sink
+
+
+@query
+def load_receipts(spark, sf):
+    """The log after three runs: loaded is what its receiver has answered to."""
+    log, _ = _three_runs(spark, sf, "receipt_log")
+    return log.rows()
+
+
+@query
+def export_receipts(spark, sf):
+    """The queues after the same runs: every record in one run, whether fetched or not."""
+    _, sink = _three_runs(spark, sf, "receipt_queue_log")
+    return spark.read.parquet(sink.path)
+
+
+@query
+def export_manifest(spark, sf):
+    """The manifest after the same runs."""
+    log, _ = _three_runs(spark, sf, "receipt_manifest_log")
+    return log.runs()
+
+
 @query
 def load_people_log(spark, sf):
     form = load.people_format()
-    log = load.LoadLog(spark, session.new_path(spark, "people_log"), form)
-    load.IncrementalLoad(log).run(people_oos(spark, sf), _write_queues(spark, form), "1")
+    log = _log(spark, "people_log", form)
+    load.IncrementalLoad(log).run(people_oos(spark, sf), _queues(spark, form), "1")
     return log.rows().drop("run_id")
 
 
@@ -406,16 +484,16 @@ def load_people_log(spark, sf):
 def load_notes_log(spark, sf):
     """A run whose export fails, and the run after it: both attempts end up loaded."""
     form = load.notes_format()
-    log = load.LoadLog(spark, session.new_path(spark, "notes_log"), form)
+    log = _log(spark, "notes_log", form)
     job = load.IncrementalLoad(log)
 
-    def broken(df):
+    def broken(df, run_id):
         raise ConnectionError("export failed")
 
     try:
         job.run(notes_donor(spark, sf), broken, "1")
     except ConnectionError:
-        job.run(notes_donor(spark, sf), _write_queues(spark, form), "2")
+        job.run(notes_donor(spark, sf), _queues(spark, form), "2")
     return log.rows()
 
 
@@ -423,18 +501,13 @@ def load_notes_log(spark, sf):
 def load_stream(spark, sf):
     """The survey load fed by a stream of contacts; the log at its end."""
     form = load.survey_format()
-    log = load.LoadLog(spark, session.new_path(spark, "stream_log"), form)
+    log = _log(spark, "stream_log", form)
     joined = frame(spark, sf, "joined_contact")
     path = session.new_path(spark, "arrivals")
     joined.write.parquet(path)
     arrivals = spark.readStream.schema(joined.schema).option("maxFilesPerTrigger", 4).parquet(path)
-    queues = session.new_path(spark, "stream_queues")
     run = start_load_stream(
-        arrivals,
-        survey.support_view,
-        load.IncrementalLoad(log),
-        lambda n: sinks.queue_sink(f"{queues}/batch={n}", form.export_cols, form.state_col, form.queue),
-        session.new_path(spark, "stream_checkpoint"),
+        arrivals, survey.support_view, load.IncrementalLoad(log), _queues(spark, form), session.new_path(spark, "stream_checkpoint")
     )
     run.awaitTermination()
     return log.rows().drop("run_id")
@@ -587,23 +660,22 @@ def _index(person):
     return session.stage_table(matching.person_index(MATCH, person), "person_index")
 
 
-def _found(spark, sf):
+def _found(spark, sf, carry=True):
     source, person = _match_inputs(spark, sf)
-    return matching.match_candidates(MATCH, source, _index(person), keep_unmatched=False)
+    return matching.match_candidates(MATCH, source, _index(person), keep_unmatched=False, carry=carry)
 
 
 @query
 def match_best(spark, sf):
-    source, person = _match_inputs(spark, sf)
-    return matching.best_match(MATCH, _found(spark, sf), source, person, RUN_DATE)
+    return matching.best_match(MATCH, _found(spark, sf), frame(spark, sf, "match_source"), run_date=RUN_DATE)
 
 
 @query
 def match_best_plain(spark, sf):
-    """Without the tie-out: score and cutoff alone decide."""
+    """Without the tie-out: score and cutoff alone decide. People are looked up by their voter id."""
     source, person = _match_inputs(spark, sf)
     config = replace(MATCH, use_extra_match=False, cutoff_threshold=0.8)
-    return matching.best_match(config, _found(spark, sf), source, person, RUN_DATE)
+    return matching.best_match(config, _found(spark, sf, carry=False), source, person, RUN_DATE)
 
 
 @query
@@ -694,7 +766,8 @@ def match_pipeline(spark, sf):
 @query
 def match_job(spark, sf):
     """Two runs of the recurring job, the second over its own output; the published table."""
-    output, history = session.new_path(spark, "matched"), session.new_path(spark, "stage_cass")
+    output = VersionedTable(spark, session.new_name("matched"), key="pk", buckets=8)
+    history = VersionedTable(spark, session.new_name("cleaned"), key="pk", buckets=8)
     source, person = _match_inputs(spark, sf)
     matching.match_job(MATCH, source, person, output, history, RUN_DATE)
     return matching.match_job(MATCH, source, person, output, history, date(2024, 3, 1))

@@ -29,7 +29,7 @@ from fieldloom.operators.joins import without_keys
 from fieldloom.operators.sets import union_all
 from fieldloom.operators.windows import best_per_key, chunk_of
 from fieldloom.session import Staging
-from fieldloom.sources import sinks, tables
+from fieldloom.sources.versions import VersionedTable
 
 FIELDS = [
     "primary_key", "first_name", "middle_name", "last_name", "phone", "email", "full_address", "unit", "city",
@@ -50,6 +50,9 @@ STANDARD = {
 
 TIED = ("state_code", "first_name", "last_name")
 
+#: What the index of the person file carries for the best match.
+CARRIED = ["person_id", *(f"_{f}" for f in TIED)]
+
 
 @dataclass(frozen=True)
 class MatchRule:
@@ -178,42 +181,62 @@ def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
     return F.concat(F.array(*single), *several)
 
 
-def _keyed(config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_col: str, name: str) -> DataFrame:
-    """One row per record and key: the id, the score of the rule, the key."""
+def _keyed(
+    config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_col: str, name: str, carried: Sequence[str] = ()
+) -> DataFrame:
+    """One row per record and key: the id, what is carried along, the score of the rule, the key."""
     used = dict.fromkeys(f for _, rule in config.rules_in_use() for f in rule.fields)
     plain = df.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias(name), *[matchkeys.normal(f, F.col(columns[f])).alias(f) for f in used]
+        F.col(id_col).alias(name), *carried, *[matchkeys.normal(f, F.col(columns[f])).alias(f"_n_{f}") for f in used]
     )
-    keys = F.explode(_keys(config, {f: F.col(f) for f in used}))
-    return plain.select(name, keys.alias("k")).where(F.col("k.key").isNotNull()).select(name, "k.score", "k.key")
+    keys = F.explode(_keys(config, {f: F.col(f"_n_{f}") for f in used}))
+    exploded = plain.select(name, *carried, keys.alias("k")).where(F.col("k.key").isNotNull())
+    return exploded.select(name, *carried, "k.score", "k.key")
+
+
+def _tied(config: MatchConfig) -> dict[str, Column]:
+    """What the tie-out compares of a person, by the name it is carried under."""
+    person = {f: config.person_column(f) for f in TIED}
+    return {f"_{f}": F.left(c, F.lit(3)) if f == "first_name" else c for f, c in person.items()}
 
 
 def person_index(config: MatchConfig, people: DataFrame, id_col: str = "voterbase_id") -> DataFrame:
-    """(key, matched_id): under each key the lowest ``matches_per_id`` person ids.
+    """Under each key the lowest ``matches_per_id`` person ids, with what the best match needs of them.
 
-    Stage it before use: both rounds read it, and read back it is a plain side of a
-    join, which the adaptive planner can pair with a split hot key of the sources.
+    Columns: ``key, matched_id`` and ``CARRIED``; an id listed several times is found by
+    the fields of all its rows and stands with the data of the lowest one. Stage it
+    before use: both rounds read it, and read back it is a plain side of a join, which
+    the adaptive planner can pair with a split hot key of the sources.
     """
-    columns = dict.fromkeys([id_col, *(c for c in config.person.values() if c)])
-    once = people.select(*columns).distinct()
-    keyed = _keyed(config, once, config.person, id_col, "matched_id").select("key", "matched_id")
-    # dense rank: an id listed twice under a key takes one place, not two
+    wanted = [c for c in dict.fromkeys(config.person.values()) if c and c != id_col]
+    # candidates alone need no person id
+    person_id = F.col("person_id") if "person_id" in people.columns else F.lit(None).cast("string")
+    carried = F.struct(person_id.alias("person_id"), *[c.alias(n) for n, c in _tied(config).items()])
+    listed = people.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("matched_id"), *wanted, carried.alias("_p"))
+    if id_col in config.person.values():
+        listed = listed.withColumn(id_col, F.col("matched_id"))
+    lowest = listed.groupBy("matched_id").agg(F.min(F.struct(F.col("_p.person_id").isNull(), "_p")).alias("_lowest"))
+    once = listed.drop("_p").join(lowest, "matched_id").select("*", "_lowest._p.*").drop("_lowest")
+    # repeats of an id under a key go before ids are ranked
+    keyed = _keyed(config, once, config.person, "matched_id", "matched_id", CARRIED).drop("score").distinct()
     rank = F.dense_rank().over(Window.partitionBy("key").orderBy("matched_id"))
     ranked = keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id)
-    # rows of a key are together already, so dropping repeats moves nothing
-    return ranked.select("key", "matched_id").dropDuplicates(["key", "matched_id"])
+    return ranked.select("key", "matched_id", *CARRIED)
 
 
 def match_candidates(
-    config: MatchConfig, source: DataFrame, index: DataFrame, keep_unmatched: bool = True
+    config: MatchConfig, source: DataFrame, index: DataFrame, keep_unmatched: bool = True, carry: bool = False
 ) -> DataFrame:
     """(source_id, matched_id, score): at most ``matches_per_id`` people per source row.
 
     Highest score first, lowest id among equals. With ``keep_unmatched`` a source
-    without any candidate is there once, with NULLs.
+    without any candidate is there once, with NULLs; with ``carry`` the rows have the
+    ``CARRIED`` columns of the index too, which ``best_match`` then need not look up.
     """
     keyed = _keyed(config, source, config.mapped, config.key, "source_id")
-    pairs = keyed.join(index, "key").groupBy("source_id", "matched_id").agg(F.max("score").alias("score"))
+    carried = CARRIED if carry else []
+    pairs = keyed.join(index.select("key", "matched_id", *carried), "key")
+    pairs = pairs.groupBy("source_id", "matched_id", *carried).agg(F.max("score").alias("score"))
     top = best_per_key(pairs, ["source_id"], [F.desc("score"), F.col("matched_id")], config.matches_per_id)
     if not keep_unmatched:
         return top
@@ -222,48 +245,59 @@ def match_candidates(
 
 
 def tie_out(config: MatchConfig, person: Mapping[str, Column]) -> Column:
-    """1 where state, last name and the first three letters of the first name agree, else 0."""
+    """1 where state, last name and the first three letters of the first name agree, else 0.
+
+    ``person`` has the first name already cut.
+    """
     if not config.use_extra_match or not set(TIED) <= set(config.mapped):
         return F.lit(0)
     agree = (
         same_text(config.source("state_code"), person["state_code"])
-        & same_text(F.left(config.source("first_name"), F.lit(3)), F.left(person["first_name"], F.lit(3)))
+        & same_text(F.left(config.source("first_name"), F.lit(3)), person["first_name"])
         & same_text(config.source("last_name"), person["last_name"])
     )
     return F.when(agree, 1).otherwise(0)
 
 
 def best_match(
-    config: MatchConfig, candidates: DataFrame, source: DataFrame, people: DataFrame, run_date: date | None = None
+    config: MatchConfig,
+    candidates: DataFrame,
+    source: DataFrame,
+    people: DataFrame | None = None,
+    run_date: date | None = None,
 ) -> DataFrame:
     """The accepted match of each source row, with its mapped columns.
 
     A source's candidates are ranked by tie-out, then score; only the first counts.
     If that one has no person id or neither tie-out nor a score at the cutoff, the
-    source stays without a match.
+    source stays without a match. Candidates that do not carry what is needed of a
+    person are looked up in ``people`` by their voter id.
     """
-    person = people.select("person_id", "voterbase_id", *[config.person_column(f).alias(f"_{f}") for f in TIED])
+    found = candidates.where(F.col("matched_id").isNotNull())
+    if not set(CARRIED) <= set(found.columns):
+        tied = [c.alias(name) for name, c in _tied(config).items()]
+        person = people.select("person_id", F.col("voterbase_id").alias("_voter"), *tied)
+        found = found.join(person, F.col("matched_id") == F.col("_voter"), "left")
     known = mapped_columns(config, source).withColumn("_key", F.col(config.key))
-    rows = (
-        candidates.where(F.col("matched_id").isNotNull())
-        .join(person, F.col("matched_id") == F.col("voterbase_id"), "left")
-        .join(known, F.col("source_id") == F.col("_key"))
-        .select(
-            "source_id",
-            "person_id",
-            F.col("matched_id").alias("voterbase_id"),
-            candidates["score"],
-            *config.columns,
-            tie_out(config, {f: F.col(f"_{f}") for f in TIED}).alias("_extra"),
-        )
+    kept = found.select(
+        F.col("source_id").alias("_source"), F.col("person_id").alias("_person"), F.col("matched_id").alias("_voter"),
+        F.col("score").alias("_score"), *[f"_{f}" for f in TIED],
+    )
+    rows = kept.join(known, F.col("_source") == F.col("_key")).select(
+        "_source",
+        F.col("_person").alias("person_id"),
+        F.col("_voter").alias("voterbase_id"),
+        F.col("_score").alias("score"),
+        *config.columns,
+        tie_out(config, {f: F.col(f"_{f}") for f in TIED}).alias("_extra"),
     )
     # the join has brought the rows of a source together in order: its first row is an
     # aggregate that needs no further sort, and that is taken in two steps where the
     # join had to be split for a hot key
     order = [-F.col("_extra"), F.col("score").isNull(), -F.col("score"), F.col("voterbase_id"), F.col("person_id").isNull()]
-    first = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], *rows.drop("source_id").columns)
+    first = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], *rows.drop("_source").columns)
     accepted = (
-        rows.groupBy("source_id")
+        rows.groupBy("_source")
         .agg(F.min(first).alias("first"))
         .select("first.*")
         .where(((F.col("score") >= config.cutoff_threshold) | (F.col("_extra") == 1)) & F.col("person_id").isNotNull())
@@ -357,13 +391,21 @@ def merge_matches(config: MatchConfig, *rounds: DataFrame | None) -> DataFrame:
 class MatchResult:
     """``matches`` is the whole new output, ``cleaned`` what to append to the history.
 
-    Both read the stage tables of the run; drop those when both are written.
+    Both read the stage tables of the run. As a context manager it drops those at its
+    end, when both are written, and keeps them after an error.
     """
 
     matches: DataFrame
     cleaned: DataFrame | None
     staging: Staging
 
+    def __enter__(self) -> MatchResult:
+        return self
+
+    def __exit__(self, error: type | None, *_: object) -> None:
+        if error is None:
+            self.staging.drop()
+
 
 def match(
     config: MatchConfig,
@@ -387,8 +429,8 @@ def match(
         index = staging.table(person_index(config, people), "person_index")
 
     def one_round(rows: DataFrame, name: str) -> DataFrame:
-        found = match_candidates(config, rows, index, keep_unmatched=False)
-        return staging.table(best_match(config, found, rows, people, run_date), name)
+        found = match_candidates(config, rows, index, keep_unmatched=False, carry=True)
+        return staging.table(best_match(config, found, rows, run_date=run_date), name)
 
     first = one_round(universe, "stage_2_fullmatch")
     if not config.enable_cleaning:
@@ -407,22 +449,21 @@ def match_job(
     config: MatchConfig,
     source: DataFrame,
     people: DataFrame,
-    output: str,
-    history: str,
+    output: VersionedTable,
+    history: VersionedTable,
     run_date: date | None = None,
     index: DataFrame | None = None,
 ) -> DataFrame:
-    """One run of a recurring job: published matches at ``output``, cleaned rows at ``history``.
+    """One run of a recurring job: published matches in ``output``, cleaned rows in ``history``.
 
-    Either table may not exist yet. The output is written first: should the run end
-    between the two writes, the next one cleans and matches the same rows again.
+    Either table may not exist yet. With the primary key as their key, neither is
+    shuffled when the next run joins it. The output is a new version, current once it is
+    whole; it is published first: should the run end before the history is written, the
+    next one cleans and matches the same rows again.
     """
-    spark = source.sparkSession
-    previous, cleaned = tables.scan_if_exists(spark, output), tables.scan_if_exists(spark, history)
-    result = match(config, source, people, previous, cleaned, run_date, index)
-    with result.staging:
+    with match(config, source, people, output.read(), history.read(), run_date, index) as result:
         published = result.staging.table(result.matches, "all_matches")
-        written = sinks.write_keyed(published, output, config.key, mode="overwrite")
+        written = output.publish(published)
         if result.cleaned is not None:
-            sinks.append_or_create(result.cleaned, history)
+            history.append(result.cleaned)
         return written

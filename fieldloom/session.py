@@ -57,6 +57,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fieldloom/{uuid.uuid4().hex}/{name}"
 
 
+def new_name(prefix: str) -> str:
+    """A catalog name that no table has yet."""
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldloom import session
 from fieldloom.plans import matching
 from fieldloom.plans.matching import MatchConfig, MatchRule
-from fieldloom.sources import tables
+from fieldloom.sources.versions import VersionedTable
 
 DAY = date(2024, 2, 1)
 FIELDS = ["first_name", "last_name", "state_code", "zip", "email"]
@@ -204,17 +204,17 @@ def test_whole_job(spark, rows):
         (2, "bob stone", None, "illinois", "60601-11", None),
         (3, "No", "Body", "ny", "1", None), (None, "Ann", "Li", "ny", "10001", None),
     )
-    output, history = session.new_path(spark, "out"), session.new_path(spark, "history")
+    output, history = (VersionedTable(spark, session.new_name(n), key="pk", buckets=4) for n in ("out", "history"))
     first = matching.match_job(CONFIG, source, rows(PERSON, *PEOPLE), output, history, DAY)
     got = {r.pk: (r.voterbase_id, r.score, r.last_name, r.state_code) for r in first.collect()}
     # the second is found only after its name was split and its address cleaned
     assert got == {1: ("V1", 0.85, "Li", "ny"), 2: ("V2", 0.85, "Stone", "IL")}
-    cleaned = tables.scan(spark, history)
+    cleaned = history.read()
     assert sorted((r.pk, r.cass_date) for r in cleaned.collect()) == [(2, DAY), (3, DAY)]
     # another run changes nothing: both scores are above the threshold, the third row was cleaned before
     again = matching.match_job(CONFIG, source, rows(PERSON, *PEOPLE), output, history, date(2024, 3, 1))
     assert {r.pk: r.matched_date for r in again.collect()} == {1: DAY, 2: DAY}
-    assert tables.scan(spark, history).count() == 2
+    assert history.read().count() == 2
 
 
 def test_custom_rules(rows):

@@ -10,7 +10,8 @@ from checks.queries import MATCH, QUERIES
 from fieldloom import session
 from fieldloom.functions import zones
 from fieldloom.operators import joins, windows
-from fieldloom.plans import matching
+from fieldloom.plans import load, matching
+from fieldloom.sources.versions import VersionedTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -164,3 +165,52 @@ def test_hot_source_id_is_split(spark, tiny_skew, rows):
     # of the rows with the shared id the first one in order counts
     assert row.l == source.where("id = 0").agg(F.min("l")).first()[0]
     assert "skew=true" in plan(total)
+
+
+# -- joins that use a layout
+
+
+def by_key(spark, df, key, buckets=4):
+    table = VersionedTable(spark, session.new_name("laid_out"), key=key, buckets=buckets)
+    table.publish(df)
+    return table
+
+
+def exchanges(shown):
+    return len(re.findall(r"Exchange (?:hash|range|Single)", shown))
+
+
+def test_joins_with_keyed_tables_shuffle_one_side(spark, no_broadcast):
+    """The later run of the matching job: neither output nor history is shuffled."""
+    source = frame(spark, SF, "match_source")
+    earlier = by_key(spark, frame(spark, SF, "earlier_match").join(source, "pk"), "pk")
+    cleaned = by_key(spark, frame(spark, SF, "earlier_cleaned"), "pk")
+    shown = plan(matching.rematch_universe(MATCH, source, earlier.read()))
+    assert "SortMergeJoin" in shown and exchanges(shown) == 1
+    shown = plan(matching.cleaning_universe(MATCH, source, earlier.read(), cleaned.read()))
+    assert shown.count("SortMergeJoin") == 2 and exchanges(shown) == 1
+    # two tables laid out alike are joined where they lie
+    assert exchanges(plan(earlier.read().join(cleaned.read(), "pk"))) == 0
+    assert exchanges(plan(earlier.read().groupBy("pk").count())) == 0
+
+
+def test_a_run_does_not_shuffle_the_loaded_hashes(spark, no_broadcast):
+    form = load.survey_format()
+    log = load.LoadLog(spark, session.new_name("plan_log"), form, buckets=4)
+    records = QUERIES["view_support"](spark, SF)
+    load.IncrementalLoad(log).run(records.limit(50), lambda df, run_id: None, "1")
+    log.compact()
+    shown = plan(log.new(session.stage_table(records, "records")))
+    # the records, and the marks made since (none)
+    assert shown.count("SortMergeJoin LeftAnti") + shown.count("LeftAnti") >= 2 and exchanges(shown) == 2
+    assert re.search(r"FileScan parquet \S*plan_log\S*loaded\S*\[sq_hash.*Bucketed: true", shown)
+    log.drop()
+
+
+def test_best_match_shuffles_five_times(spark, no_broadcast):
+    """Keys of sources and index, pairs, candidates and sources by id; the person file is not read again."""
+    source = frame(spark, SF, "match_source")
+    index = session.stage_table(matching.person_index(MATCH, frame(spark, SF, "person_file")), "index")
+    found = matching.match_candidates(MATCH, source, index, keep_unmatched=False, carry=True)
+    shown = plan(matching.best_match(MATCH, found, source))
+    assert exchanges(shown) == 5 and shown.count("part.parquet") == 2

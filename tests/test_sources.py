@@ -8,22 +8,87 @@ from pyspark.sql import functions as F
 from fieldloom import session
 from fieldloom.operators import sets, windows
 from fieldloom.sources import sinks, tables
+from fieldloom.sources.versions import VersionedTable
 
 
-def test_replace_reads_what_it_replaces(spark, rows):
-    path = session.new_path(spark, "t")
-    sinks.replace_table(rows("a int, b string", (1, "x"), (2, "y")), path)
-    sinks.replace_table(tables.scan(spark, path).where("a = 2"), path, "a")
-    assert [tuple(r) for r in tables.scan(spark, path).collect()] == [(2, "y")]
+def published(spark, **options):
+    return VersionedTable(spark, session.new_name("t"), **options)
 
 
-def test_failed_replacement_keeps_the_table(spark, rows):
-    path = session.new_path(spark, "t")
-    sinks.replace_table(rows("a int", (1,)), path)
-    broken = tables.scan(spark, path).select(F.raise_error(F.lit("no")).cast("int").alias("a"))
+def versions(spark, table):
+    return [t.name for t in spark.catalog.listTables(pattern=f"{table.name}__v*")]
+
+
+def test_replacement_reads_what_it_replaces(spark, rows):
+    table = published(spark)
+    assert table.read() is None and not table.exists()
+    table.publish(rows("a int, b string", (1, "x"), (2, "y")))
+    table.publish(table.read().where("a = 2").withColumn("c", F.lit(True)))
+    assert [tuple(r) for r in table.read().collect()] == [(2, "y", True)]
+    assert versions(spark, table) == [table.version()]
+    table.drop()
+    assert not table.exists() and versions(spark, table) == []
+
+
+def test_broken_publication_keeps_the_table(spark, rows):
+    table = published(spark, key="a", buckets=2)
+    table.publish(rows("a int", (1,), (2,)))
+    before = table.version()
     with pytest.raises(Exception, match="no"):
-        sinks.replace_table(broken, path)
-    assert tables.scan(spark, path).count() == 1
+        table.publish(table.read().select(F.when(F.col("a") == 2, F.raise_error(F.lit("no")).cast("int")).otherwise(0).alias("a")))
+    assert table.version() == before and sorted(r.a for r in table.read().collect()) == [1, 2]
+    table.publish(table.read().where("a = 2"))
+    assert [r.a for r in table.read().collect()] == [2]
+
+
+def test_publication_that_breaks_before_the_swap_leaves_no_trace(spark, rows, monkeypatch):
+    table = published(spark)
+    table.publish(rows("a int", (1,)))
+    monkeypatch.setattr(VersionedTable, "_point_at", lambda self, version: (_ for _ in ()).throw(OSError("catalog gone")))
+    with pytest.raises(OSError):
+        table.publish(rows("a int", (2,)))
+    monkeypatch.undo()
+    assert [r.a for r in table.read().collect()] == [1] and len(versions(spark, table)) == 2
+    table.publish(rows("a int", (3,)))
+    assert [r.a for r in table.read().collect()] == [3] and len(versions(spark, table)) == 1
+
+
+def test_appended_rows_keep_the_layout(spark, rows):
+    table = published(spark, key="k", buckets=4)
+    for part in range(3):
+        table.append(spark.range(part * 100, part * 100 + 100).withColumnRenamed("id", "k"))
+    assert table.read().count() == 300 and len(table.read().inputFiles()) == 12
+    parts = published(spark, partitions=["p"])
+    parts.append(rows("a int, p boolean", (1, True), (2, False)))
+    parts.append(rows("a int, p boolean", (3, False)))
+    assert sorted(r.a for r in parts.read().where("not p").collect()) == [2, 3]
+
+
+def test_tables_of_a_schema(spark, rows):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS some_schema")
+    table = VersionedTable(spark, "some_schema.named", key="a", buckets=2)
+    table.publish(rows("a int", (1,)))
+    table.publish(rows("a int", (2,)))
+    assert [r.a for r in spark.table("some_schema.named").collect()] == [2]
+    table.drop()
+    assert spark.catalog.listTables("some_schema") == []
+
+
+def test_hot_key_is_written_by_several_tasks(spark):
+    """A third of the rows share a key: their bucket becomes several files."""
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        table = published(spark, key="k", buckets=4)
+        table.publish(df)
+        assert table.read().count() == 60000 and len(table.read().inputFiles()) > 4
+        assert table.read().where("k = -1").select(F.input_file_name()).distinct().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_keyed_layout_sorts_files(spark):
@@ -114,6 +179,43 @@ def test_chunks_are_even_and_stable(spark):
     assert df.exceptAll(df.repartition(7)).count() == 0
 
 
+@pytest.mark.parametrize("tiles", [1, 3, 7, 250])
+def test_tiles_are_those_of_a_global_order(spark, tiles):
+    """As ``ntile`` over an order in which a third of the rows are equal, without its one task."""
+    df = spark.range(0, 200, 1, 5).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("o"), "id")
+    numbered = windows.numbered(df.repartition(6), [F.desc("o")], session.stage_table, "n")
+    got = numbered.select("o", "n", windows.tile_of(F.col("n"), 200, tiles).alias("tile")).collect()
+    assert sorted(r.n for r in got) == list(range(200))
+    ordered = [r.o for r in sorted(got, key=lambda r: r.n)]
+    assert ordered == sorted(ordered, reverse=True)
+    expected = spark.sql(f"SELECT n, ntile({tiles}) OVER (ORDER BY n) AS tile FROM range(200) r(n)")
+    assert sorted((r.n, r.tile) for r in got) == sorted(map(tuple, expected.collect()))
+
+
+def test_numbers_of_no_rows(spark):
+    df = spark.range(0).select("id")
+    assert windows.numbered(df, [F.col("id")], session.stage_table).collect() == []
+
+
+def test_equal_rows_are_numbered_by_several_tasks(spark):
+    df = spark.range(0, 20000, 1, 8).select(F.lit(1).alias("o"))
+    small = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in small}
+    written = []
+
+    def write(frame, name):
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        written.append(session.stage_table(frame, name))
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        return written[-1]
+
+    numbers = windows.numbered(df, [F.col("o")], write).agg(F.countDistinct("number"), F.max("number")).first()
+    assert tuple(numbers) == (20000, 19999)
+    assert written[0].groupBy("_number_part").count().agg(F.max("count")).first()[0] < 6000
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
