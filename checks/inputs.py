@@ -135,7 +135,7 @@ INPUTS = {
                CASE p_partkey % 10 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE {_W2} END AS lname,
                CASE WHEN p_partkey % 6 = 5 THEN NULL
                     ELSE {_W1} || '.' || {_W2} || CAST(p_partkey % 300 AS STRING) || '@x.org' END AS email,
-               CASE WHEN p_partkey % 3 = 0 THEN '(555) 01' || CAST(p_partkey % 10 AS STRING) || '-'
+               CASE WHEN p_partkey % 3 = 0 THEN CASE WHEN p_partkey % 2 = 0 THEN '+1 ' ELSE '' END || '(555) 01' || CAST(p_partkey % 10 AS STRING) || '-'
                     || lpad(CAST(p_partkey % 700 AS STRING), 4, '0') END AS phone,
                CAST(p_partkey % 900 AS STRING) || ' ' || {_W1} || {_pick(' Street| Ave.| blvd| north  Road| lane', 'p_size', 5)}
                     || CASE p_size % 3 WHEN 0 THEN ', apt ' || CAST(p_size AS STRING) WHEN 1 THEN ' #' || CAST(p_size AS STRING)
@@ -155,6 +155,15 @@ INPUTS = {
                lower(p_type) AS city, upper({st('p_size')}) AS state_code,
                lpad(CAST(p_partkey % 450 AS STRING), 5, '0') AS zip
         FROM {{part}}""",
+    "born_source": f"""
+        SELECT p_partkey AS pk, upper({_W1}) AS fname, {_W2} AS lname,
+               CASE WHEN p_partkey % 11 > 0 THEN CAST('1950-01-01' AS DATE) + CAST(p_size * 31 + p_partkey % 3 AS INT) END AS born
+        FROM {{part}}""",
+    "born_person": f"""
+        SELECT 'P' || CAST(p_partkey AS STRING) AS person_id, 'V' || lpad(CAST(p_partkey AS STRING), 10, '0') AS voterbase_id,
+               {_W1} AS first_name, upper({_W2}) AS last_name,
+               CAST('1950-01-01' AS DATE) + CAST(p_size * 31 + p_partkey % 2 AS INT) AS birth_date
+        FROM {{part}}""",
     # an earlier output of the matching job, and rows cleaned by it
     "earlier_match": """
         SELECT 'P0' AS person_id, 'V' || lpad(CAST(l_partkey AS STRING), 10, '0') AS voterbase_id,
@@ -183,10 +192,9 @@ INPUTS = {
                replace(CAST(end_ts AS STRING), ' ', 'T') || 'Z' AS finished_at
         FROM {run_flat}""",
     "job_flat": """
-        SELECT user_id AS id, 'job ' || CAST(user_id AS STRING) AS name, 'container' AS type, run_state AS state,
-               run_state, started_at, finished_at
-        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY started_at DESC, event_id DESC) AS rn FROM {run}) r
-        WHERE rn = 1""",
+        SELECT DISTINCT user_id AS id, 'job ' || CAST(user_id AS STRING) AS name, 'container' AS type,
+               CASE user_id % 7 WHEN 0 THEN 'failed' ELSE 'succeeded' END AS state
+        FROM {events}""",
 }
 
 

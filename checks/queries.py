@@ -110,10 +110,15 @@ def union_nonempty(spark, sf):
 
 @query
 def filled_tables(spark, sf):
-    line = frame(spark, sf, "lineitem")
+    """Tables of a schema, of which the catalog knows the size of two; one is empty."""
+    line = frame(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    schema = session.new_name("lines")
+    spark.sql(f"CREATE SCHEMA {schema}")
     for flag in ("A", "N", "R", "X"):
-        tables.named_view(line.where(F.col("l_returnflag") == flag), f"lines_of_{flag.lower()}")
-    return tables.filled_tables(spark, "^lines_of_.$")
+        line.where(F.col("l_returnflag") == flag).write.saveAsTable(f"{schema}.lines_of_{flag.lower()}")
+    for flag in ("a", "n"):
+        spark.sql(f"ANALYZE TABLE {schema}.lines_of_{flag} COMPUTE STATISTICS")
+    return tables.filled_tables(spark, "^lines_of_.$", schema)
 
 
 @query
@@ -643,6 +648,13 @@ def chunk_assign(spark, sf):
     )
 
 
+@query
+def chunk_tiles(spark, sf):
+    """Customers by balance in seven tiles that differ by one row at most."""
+    customers = frame(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return windows.equal_tiles(customers, [F.desc("c_acctbal"), F.col("c_custkey")], 7, session.stage_table)
+
+
 @query
 def rematch_universe(spark, sf):
     return matching.rematch_universe(
@@ -656,6 +668,17 @@ def match_candidates(spark, sf):
     return matching.match_candidates(MATCH, source, _index(person))
 
 
+@query
+def match_birth_date(spark, sf):
+    """People of the same name and birth date."""
+    config = matching.MatchConfig(
+        pii={"primary_key": "pk", "first_name": "fname", "last_name": "lname", "birth_date": "born"},
+        person={f: f for f in ("first_name", "last_name", "birth_date")},
+    )
+    index = session.stage_table(matching.person_index(config, frame(spark, sf, "born_person")), "born_index")
+    return matching.match_candidates(config, frame(spark, sf, "born_source"), index)
+
+
 def _index(person):
     return session.stage_table(matching.person_index(MATCH, person), "person_index")
 
@@ -818,9 +841,24 @@ def audit_runtime(spark, sf):
     )
 
 
+def _all_runs(spark, sf):
+    return frame(spark, sf, "run").select(
+        F.col("event_id").alias("run_id"), F.col("user_id").alias("job_id"), F.col("run_state").alias("state"),
+        "started_at", "finished_at",
+    )
+
+
+@query
+def audit_newest_run(spark, sf):
+    """The newest run of each job, out of all runs."""
+    found = audit.newest_runs(_all_runs(spark, sf))
+    return found.select(
+        "job_id", "run.state", runs.runtime_text(F.col("run")).alias("latest_runtime"),
+        runs.run_seconds(F.col("run")).alias("runtime_seconds"),
+    )
+
+
 @query
 def audit_jobs(spark, sf):
-    jobs = frame(spark, sf, "job_flat").select(
-        "id", "name", "type", "state", _one_run().alias("runs"), F.struct(F.lit(True).alias("scheduled")).alias("schedule")
-    )
-    return audit.job_audit(audit.workflow_audit(_workflows(spark, sf), ALLOWED), jobs)
+    jobs = frame(spark, sf, "job_flat")
+    return audit.job_audit(audit.workflow_audit(_workflows(spark, sf), ALLOWED), jobs, _all_runs(spark, sf))

@@ -24,11 +24,20 @@ def _address(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
 
 
+#: Country prefix that a number of this many further digits is written with or without.
+PHONE_PREFIX, PHONE_DIGITS = "1", 10
+
+
+def _phone(c: Column) -> Column:
+    """All digits, without the country prefix of a home number."""
+    return F.regexp_replace(F.regexp_replace(c, r"\D", ""), rf"^{PHONE_PREFIX}(?=\d{{{PHONE_DIGITS}}}$)", "")
+
+
 _NORMAL = {
     "first_name": _name,
     "middle_name": _name,
     "last_name": _name,
-    "phone": lambda c: F.right(F.regexp_replace(c, r"\D", ""), F.lit(10)),
+    "phone": _phone,
     "email": _lower,
     "full_address": _address,
     "street": _address,

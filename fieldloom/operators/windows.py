@@ -83,3 +83,11 @@ def tile_of(number: Column, rows: Column | int, tiles: int) -> Column:
     within = F.when(number < large, F.floor(number / (small + 1)))
     # without a whole row per tile every row lies in a large one
     return (within.otherwise(more + F.floor((number - large) / F.greatest(small, F.lit(1)))) + 1).cast("int")
+
+
+def equal_tiles(
+    df: DataFrame, order: Sequence[Column], tiles: int, write: Callable[[DataFrame, str], DataFrame], name: str = "tile"
+) -> DataFrame:
+    """``df`` with the tile 1..tiles that ``ntile`` over ``order`` gives a row, without its one task."""
+    placed = numbered(df, order, write, f"_{name}_number")
+    return placed.withColumn(name, tile_of(F.col(f"_{name}_number"), placed.count(), tiles)).drop(f"_{name}_number")

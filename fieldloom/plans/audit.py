@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.functions.lists import id_texts, job_ids_in, usable_id
-from fieldloom.functions.runs import latest_runtime, runtime_seconds
+from fieldloom.functions.runs import newest, run_seconds, runtime_text
 
 
 def workflow_audit(workflows: DataFrame, allow_ids: Sequence[int] = ()) -> DataFrame:
@@ -41,15 +41,27 @@ def workflow_job_ids(workflows: DataFrame) -> DataFrame:
     )
 
 
-def job_audit(workflows: DataFrame, jobs: DataFrame) -> DataFrame:
+def newest_runs(runs: DataFrame) -> DataFrame:
+    """(job_id, run): the newest of each job's ``run_id, job_id, state, started_at, finished_at``."""
+    columns = [F.col(c) for c in ("run_id", "state", "started_at", "finished_at")]
+    return runs.where(F.col("job_id").isNotNull()).groupBy("job_id").agg(newest(*columns).alias("run"))
+
+
+def job_audit(workflows: DataFrame, jobs: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Jobs of the audited workflows with the runtime of their latest run.
 
-    A job used twice is listed twice; an id that no job has is left out.
+    Jobs have their runs as a list, newest first, or ``runs`` has one row per run of any
+    job, in any order. A job used twice is listed twice; an id that no job has is left out.
     """
+    if runs is None:
+        described, run = jobs, F.get("runs", F.lit(0))
+    else:
+        newest_of = newest_runs(runs).withColumnRenamed("job_id", "_job").withColumnRenamed("run", "_run")
+        described, run = jobs.join(newest_of, jobs["id"] == F.col("_job"), "left"), F.col("_run")
     described = (
-        jobs.withColumn("latest_runtime", latest_runtime(F.col("runs")))
-        .withColumn("runtime_seconds", runtime_seconds(F.col("runs")))
-        .drop("runs", "schedule")
+        described.withColumn("latest_runtime", runtime_text(run))
+        .withColumn("runtime_seconds", run_seconds(run))
+        .drop("runs", "schedule", "_job", "_run")
     )
     ids = workflow_job_ids(workflows)
     return described.join(ids, described["id"] == ids["job_id"]).drop("job_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Any
 
@@ -46,18 +47,31 @@ def table_exists(spark: SparkSession, name: str, schema: str | None = None) -> b
     return spark.catalog.tableExists(full.lower())
 
 
+def known_rows(spark: SparkSession, name: str) -> int | None:
+    """The row count that the catalog has of an analysed table; None if it has none.
+
+    Writes through the catalog make it forget a count, so one that is there holds.
+    """
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY"):
+        return None
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted} AS JSON").first()[0])
+    return described.get("statistics", {}).get("num_rows")
+
+
 def filled_tables(spark: SparkSession, pattern: str, schema: str | None = None) -> DataFrame:
     """(table_name, table_rows) of the non-empty tables matching ``pattern``, largest first.
 
-    One job counts all of them; parquet counts come from file footers.
+    Counts come from the catalog where a table was analysed. One job counts the others;
+    parquet counts come from file footers.
     """
-    counts = None
-    for name in sorted(t.name for t in spark.catalog.listTables(schema) if re.search(pattern, t.name)):
-        table = spark.table(f"{schema}.{name}" if schema else name)
-        count = table.agg(F.count("*").alias("table_rows")).select(F.lit(name).alias("table_name"), "table_rows")
-        counts = count if counts is None else counts.unionAll(count)
-    if counts is None:
-        return spark.createDataFrame([], "table_name string, table_rows bigint")
+    names = sorted(t.name for t in spark.catalog.listTables(schema) if re.search(pattern, t.name))
+    full = {name: f"{schema}.{name}" if schema else name for name in names}
+    known = {name: known_rows(spark, full[name]) for name in names}
+    counts = spark.createDataFrame([(n, k) for n, k in known.items() if k is not None], "table_name string, table_rows bigint")
+    for name in (n for n in names if known[n] is None):
+        count = spark.table(full[name]).agg(F.count("*").alias("table_rows"))
+        counts = counts.unionAll(count.select(F.lit(name).alias("table_name"), "table_rows"))
     return counts.where("table_rows > 0").orderBy(F.desc("table_rows"), "table_name")
 
 

@@ -243,3 +243,31 @@ def test_index_of_a_repeated_id_and_a_long_name(spark, rows):
     long = repeated.limit(1).withColumn("last_name", F.repeat(F.lit("abcd"), 500))
     made = matching.person_index(config, long).select(F.length("key").alias("n")).agg({"n": "sum", "*": "count"}).first()
     assert made["sum(n)"] == 16 * made["count(1)"] and made["count(1)"] < 2100
+
+
+def test_phones_are_compared_whole(rows):
+    import pyspark.sql.functions as F
+
+    from fieldloom.functions import matchkeys
+
+    numbers = ["+1 (555) 123-4567", "5551234567", "1-555-123-4567", "+44 20 5551 234567", "15551234567890", "1234567", "", None]
+    df = rows("p string", *[(n,) for n in numbers]).select(matchkeys.normal("phone", F.col("p")).alias("n"))
+    assert [r.n for r in df.collect()] == ["5551234567"] * 3 + ["44205551234567", "15551234567890", "1234567", None, None]
+
+
+def test_repeated_id_stands_with_its_lowest_person(spark, rows):
+    """All rows of an id are found; what is carried is one row's, the same under every key."""
+    people = rows(
+        PERSON,
+        ("P9", "V1", "Ann", "Li", "NY", "10001", None), ("P3", "V1", "Anna", "Lee", "CA", "90001", "a@x.org"),
+        (None, "V1", "Ann", "Li", "NY", "10001", "b@x.org"), ("P5", None, "Ann", "Li", "NY", "10001", None),
+    )
+    index = session.stage_table(matching.person_index(CONFIG, people), "index")
+    assert {tuple(r)[2:] for r in index.collect()} == {("P3", "CA", "Ann", "Lee")}
+    assert index.count() == index.select("key").distinct().count()
+    source = rows(SOURCE, (1, "Ann", "Li", "ny", "10001", None), (2, "x", "y", "ca", None, "A@x.org"))
+    found = matching.match_candidates(CONFIG, source, index, keep_unmatched=False, carry=True)
+    assert sorted((r.source_id, r.matched_id, r.score, r.person_id) for r in found.collect()) == [
+        (1, "V1", 0.85, "P3"), (2, "V1", 0.5, "P3"),
+    ]
+    assert sorted(r.pk for r in matching.best_match(CONFIG, found, source, run_date=DAY).collect()) == [1, 2]

@@ -132,6 +132,26 @@ def test_catalog(spark, rows):
     assert not tables.table_exists(spark, "part_one")
 
 
+def test_sizes_from_the_catalog(spark, rows):
+    """An analysed table is not read; one that was written to since, or never analysed, is counted."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS sizes")
+    for name, n in (("size_a", 3), ("size_b", 5), ("size_c", 0), ("size_d", 4)):
+        spark.range(n).write.saveAsTable(f"sizes.{name}")
+    for name in ("size_a", "size_c", "size_d"):
+        spark.sql(f"ANALYZE TABLE sizes.{name} COMPUTE STATISTICS")
+    spark.range(2).write.mode("append").saveAsTable("sizes.size_d")
+    known = {n: tables.known_rows(spark, f"sizes.size_{n}") for n in "abcd"}
+    assert known["a"] == 3 and known["b"] is None and known["c"] == 0 and known["d"] in (None, 6)
+    found = tables.filled_tables(spark, "^size_", "sizes")
+    assert [tuple(r) for r in found.collect()] == [("size_d", 6), ("size_b", 5), ("size_a", 3)]
+    shown = found._jdf.queryExecution().executedPlan().toString()
+    assert "size_a" not in shown.replace("[size_a", "") and "sizes.size_b" in shown
+    assert tables.known_rows(spark, "sizes.no_such") is None
+    tables.named_view(rows("a int", (1,)), "size_view")
+    assert tables.known_rows(spark, "size_view") is None
+    spark.sql("DROP SCHEMA sizes CASCADE")
+
+
 def test_saved_table(spark, rows):
     rows("a int", (1,)).write.option("path", session.new_path(spark, "saved")).saveAsTable("saved_rows")
     assert tables.table_exists(spark, "Saved_Rows", "DEFAULT")
