@@ -813,6 +813,25 @@ sql(
 )
 ORACLE["match_pipeline"] = ORACLE["match_job"]
 
+# all pairs of people whose full names are two letters apart at most, by the weighted mean of what both have
+_WEIGHTS = {"em": 2, "ph": 2, "ad": 2, "zp": 1}
+_SAME = " + ".join(f"CASE WHEN s.{f} = p.{f} THEN {w} ELSE 0 END" for f, w in _WEIGHTS.items())
+_BOTH = " + ".join(f"CASE WHEN s.{f} IS NOT NULL AND p.{f} IS NOT NULL THEN {w} ELSE 0 END" for f, w in _WEIGHTS.items())
+sql(
+    "match_similar",
+    ["match_source", "person_file"],
+    f"""SELECT source_id, matched_id, score FROM (
+            SELECT pk AS source_id, voterbase_id AS matched_id,
+                   max(round((3 * (1 - apart / greatest(length(s.full_name), length(p.full_name))) + {_SAME}) / (3 + {_BOTH}), 6)) AS score
+            FROM named n JOIN s USING (full_name) JOIN p ON p.full_name = n.person_name GROUP BY ALL) x
+        QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY score DESC, matched_id) <= 3""",
+    s=f"SELECT *, fn || ' ' || ln AS full_name FROM (SELECT pk, {_normal(_SOURCE_COLUMNS)} FROM match_source) x",
+    p=f"SELECT *, fn || ' ' || ln AS full_name FROM (SELECT voterbase_id, {_normal(_PERSON_COLUMNS)} FROM person_file) x",
+    named="""SELECT a.full_name, b.full_name AS person_name, levenshtein(a.full_name, b.full_name) AS apart
+             FROM (SELECT DISTINCT full_name FROM s) a, (SELECT DISTINCT full_name FROM p) b
+             WHERE levenshtein(a.full_name, b.full_name) <= 2""",
+)
+
 # --- audit -----------------------------------------------------------------------------------------
 
 _IDS = "list_transform(string_split(definition, 'job_id: ')[2:], lambda v: split_part(v, chr(10), 1))"

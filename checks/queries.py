@@ -13,7 +13,7 @@ from checks.inputs import frame
 from fieldloom import session
 from fieldloom.functions import codes, dates, hashing, lists, runs, text, zones
 from fieldloom.operators import joins, sets, windows
-from fieldloom.plans import audit, load, matching, notes, people, survey
+from fieldloom.plans import audit, load, matching, notes, people, similarity, survey
 from fieldloom.sources import sinks, tables
 from fieldloom.sources.versions import VersionedTable
 from fieldloom.streaming.load_stream import load_stream as start_load_stream
@@ -679,6 +679,13 @@ def match_birth_date(spark, sf):
     return matching.match_candidates(config, frame(spark, sf, "born_source"), index)
 
 
+@query
+def match_similar(spark, sf):
+    """The people most alike among those whose names are at most two letters apart."""
+    source, person = _match_inputs(spark, sf)
+    return similarity.similar_candidates(MATCH, source, person, session.Staging(spark, "similar"))
+
+
 def _index(person):
     return session.stage_table(matching.person_index(MATCH, person), "person_index")
 
