@@ -1,7 +1,8 @@
 """Main text of web pages: structure, and differencing with the nearest URL of the host.
 
 1. A page is read into lines, one per block element. Lines in menus, headers, footers,
-   sidebars, notices, adverts, forms and reader comments are boilerplate by structure;
+   sidebars, notices, adverts, forms and reader comments are boilerplate by structure
+   (inside an article or main element by names that say nothing else);
    lines in an ``article`` or ``main`` element are content; the others are undecided,
    but for those behind the first line of an article or main element, which are boilerplate
    if such elements hold at least as much text as all undecided lines.
@@ -53,6 +54,14 @@ BOILERPLATE_WORDS = {
     "subscribe", "signup", "pagination", "pager", "toolbar", "banner", "complementary", "contentinfo", "search", "alert",
     "widget",
 }
+#: What stands beside such a word in the name of a boilerplate element, and means nothing by itself.
+PLAIN_WORDS = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "card", "center",
+    "container", "content", "counts", "form", "group", "header", "heading", "icon", "icons", "inline", "inner",
+    "item", "items", "label", "left", "link", "links", "list", "main", "media", "page", "panel", "post", "posts", "right",
+    "row", "section", "site", "slot", "stories", "story", "text", "thread", "title", "tools", "top", "unit", "wrap",
+    "wrapper",
+}
 HEADER_WORDS = {"header"}
 NEVER_BY_CLASS = {"html", "body", "main"}
 
@@ -75,6 +84,18 @@ def _marks(attributes: str) -> set[str]:
     return {w.lower() for v in values for w in _PARTS.findall(v)}
 
 
+def _named_boilerplate(attributes: str) -> bool:
+    """Is one of the names of an element all about boilerplate: ``share-buttons``, but not ``share-price``?"""
+    if "=" not in attributes:
+        return False
+    for m in _MARK.finditer(attributes):
+        for name in (m[2] or m[3] or m[4] or "").split():
+            parts = {p.lower().rstrip("0123456789") for p in _PARTS.findall(name)} - {""}
+            if parts & BOILERPLATE_WORDS and parts <= BOILERPLATE_WORDS | PLAIN_WORDS:
+                return True
+    return False
+
+
 def lines_of(page: str) -> list[tuple[str, int]]:
     """The lines of a page in order and what each is by structure."""
     lines: list[tuple[str, int]] = []
@@ -118,12 +139,12 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     skip = ""
                 if name not in ("article", "main"):
                     continue
-            if name in ("article", "main") and not ends and not by_comment and not _marks(attributes) & BOILERPLATE_WORDS:
+            if name in ("article", "main") and not ends and not by_comment and not _named_boilerplate(attributes):
                 skip = ""  # the skipped element was never closed
             else:
                 continue
         if name in ("article", "main"):
-            if not ends and name == "article" and _marks(attributes) & BOILERPLATE_WORDS:
+            if not ends and name == "article" and _named_boilerplate(attributes):
                 skip, depth, by_comment = name, 1, True
                 continue
             inside = max(0, inside + (-1 if ends else 1))
@@ -131,11 +152,11 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if ends:
             continue
         marks = _marks(attributes)
-        if name not in NEVER_BY_CLASS and (
-            name in SKIPPED
-            or marks & BOILERPLATE_WORDS
-            or (not inside and (name == "header" or marks & HEADER_WORDS))
-        ):
+        if inside:  # the article's own text, whatever words its names hold
+            skipped = name in SKIPPED and name != "label" or _named_boilerplate(attributes)
+        else:
+            skipped = name in SKIPPED or name == "header" or marks & (BOILERPLATE_WORDS | HEADER_WORDS)
+        if name not in NEVER_BY_CLASS and skipped:
             if not is_block:
                 close()
             skip, depth, by_comment = name, 1, bool(marks & {"comment", "comments", "commentlist", "respond", "disqus"})

@@ -127,6 +127,37 @@ def test_html_structure():
     assert html_extract.lines_of("") == [] and html_extract.lines_of("just text &amp; x") == [("just text & x", 0)]
 
 
+@pytest.mark.parametrize(
+    ("element", "stays"),
+    [
+        ('<div class="social-history">', True), ('<p class="share-price">', True), ('<p id="ad-hoc-committee">', True),
+        ('<section class="comment-on-the-law">', True), ("<label>", True), ('<div class="notice-period">', True),
+        ('<div class="share-buttons">', False), ('<div class="story ad">', False), ('<div id="adSlot3">', False),
+        ('<section class="related-posts">', False), ('<div class="cookie-notice">', False), ('<div class="sidebar_left x">', False),
+        ('<form>', False), ('<aside>', False), ('<div role="complementary">', False),
+    ],
+)
+def test_html_names_inside_an_article(element, stays):
+    """What a name is about decides, not a word that it holds."""
+    name = element.strip("<>").split()[0]
+    html = f"<body><article><p>before</p>{element}the text</{name}><p>after</p></article></body>"
+    kept = [t for t, k in html_extract.lines_of(html) if k == html_extract.CONTENT]
+    assert kept in (["before", "the text", "after"], ["before the text", "after"], ["before", "the text after"]) if stays else kept == ["before", "after"]
+    if name == "div":  # outside an article such words are enough
+        outside = html_extract.lines_of(f"<body>{element}the text</{name}><article><p>story</p></article></body>")
+        assert outside == [("the text", html_extract.BOILERPLATE), ("story", html_extract.CONTENT)]
+
+
+def test_html_long_unclosed_and_repeated(rows, stage):
+    long = "<article>" + "".join(f"<p>line {k}</p>" for k in range(20_000)) + "</article>"
+    unclosed = '<body><article><p>kept</p><div class="share-buttons">gone<p>gone too'
+    values = [page(1, "http://h.x/1", long), page(2, "http://u.x/1", unclosed), page(3, "http://r.x/1", "<p>a</p>"), page(3, "http://r.x/1", "<p>a</p>")]
+    found = html_extract.extract_text(rows(PAGES, *values), stage).collect()
+    texts = [(r["page_id"], r["text"]) for r in found]
+    assert texts.count((3, "a")) == 2 and (2, "kept") in texts
+    assert dict(texts)[1] == "\n".join(f"line {k}" for k in range(20_000))
+
+
 @given(st.lists(st.integers(0, 3), max_size=9), st.lists(st.integers(0, 3), max_size=9))
 @settings(max_examples=300, deadline=None)
 def test_common_lines_are_longest(a, b):
