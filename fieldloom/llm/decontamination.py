@@ -11,11 +11,12 @@ the exact weighted Jaccard similarity of the shingles (weights are multiplicitie
 Items are searched in blocks of ``block_items``, each block's shingles being broadcast
 for one pass over the documents; how many passes there are follows from a count.
 
-Defined results: null and empty documents contain nothing; items with fewer than
-``shingle`` words are too short to be told from chance and are not searched; repeated
-items and repeated documents are reported each; of several windows of a document the most
-similar is reported, the first if equal; other columns are ignored; an empty table on
-either side gives no rows.
+Defined results: null and empty documents contain nothing; an item with fewer than
+``shingle`` words is one shingle of all its words, and its windows are as short, so it is
+found word for word only; items without words are in no document; repeated items and
+repeated documents are reported each, those without an id too; of several windows of a
+document the most similar is reported, the first if equal; documents of any length are
+searched whole; other columns are ignored; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -63,30 +64,44 @@ class Items:
         self.hashes = np.array([h for h, _ in pairs], np.uint64)
         self.items = np.array([k for _, k in pairs], np.int64)
         self.distinct = np.unique(self.hashes)
+        #: by length, the hashes of items that are one short shingle
+        self.short = {k: self._whole(k) for k in sorted({len(ws) for ws in self.words} & set(range(1, size)))}
+
+    def _whole(self, length: int) -> np.ndarray:
+        every = [shingles(np.array([word_number(w) for w in ws], np.uint64), length) for ws in self.words if len(ws) == length]
+        return np.unique(np.concatenate(every))
+
+    def _hashes(self, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the runs of ``size`` words that are all words of items."""
+        known = np.r_[0, np.cumsum(ids > 0)]
+        at = np.flatnonzero(known[size:] - known[:-size] == size)
+        h = np.zeros(len(at), np.uint64)
+        for k in range(size):
+            h = h * STEP + self.numbers[ids[at + k]]
+        return at, mix(h)
 
     def windows(self, words: list[bytes]) -> list[tuple[int, int]]:
         """(words of the item, first word) of each window that can reach the similarity."""
-        n = len(words) - self.size + 1
-        if n <= 0 or not len(self.distinct):
+        if not self.vocabulary:
             return []
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
-        known = np.r_[0, np.cumsum(ids > 0)]
-        at = np.flatnonzero(known[self.size :] - known[: -self.size] == self.size)
-        if not len(at):
-            return []
-        h = np.zeros(len(at), np.uint64)
-        for k in range(self.size):
-            h = h * STEP + self.numbers[ids[at + k]]
-        h = mix(h)
+        found = set()
+        for length, wanted in self.short.items():
+            if length <= len(words):
+                at, h = self._hashes(ids, length)
+                found.update((length, int(start)) for start in at[np.isin(h, wanted)])
+        n = len(words) - self.size + 1
+        if n <= 0 or not len(self.distinct):
+            return sorted(found)
+        at, h = self._hashes(ids, self.size)
         place = np.minimum(np.searchsorted(self.distinct, h), len(self.distinct) - 1)
         hit = self.distinct[place] == h
         at, h = at[hit], h[hit]
         if not len(at):
-            return []
+            return sorted(found)
         low, high = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
         item = self.items[np.concatenate([np.arange(a, b) for a, b in zip(low, high)])]
         where = np.repeat(at, high - low)
-        found = set()
         for k in np.unique(item):
             length = len(self.words[k])
             in_item = length - self.size + 1
@@ -104,12 +119,12 @@ class Items:
 
 
 def _describe(items: list[tuple], size: int) -> list[tuple]:
-    """Rows (item, size, fingerprint, shingles) of items long enough to be searched."""
+    """Rows (item, size, fingerprint, shingles) of items that have words."""
     rows = []
     for item_id, text in items:
         numbers = np.array([word_number(w) for w in words_of(text)], np.uint64)
-        hashes = shingles(numbers, size)
-        if len(hashes):
+        if len(numbers):
+            hashes = shingles(numbers, min(size, len(numbers)))
             rows.append((item_id, len(numbers), simhash(hashes), occurrences(hashes).view(np.int64).tolist()))
     return rows
 
@@ -162,9 +177,14 @@ def find_passages(
                     places = searched.windows(words)
                     if not places:
                         continue
-                    hashes = shingles(np.array([numbers[w] for w in words], np.uint64), shingle)
+                    own = np.array([numbers[w] for w in words], np.uint64)
+                    hashes = shingles(own, shingle)
                     sums = np.r_[np.zeros((1, 64), np.int32), np.cumsum(_bits(hashes), axis=0)]
                     for size, start in places:
+                        if size < shingle:
+                            one = shingles(own[start : start + size], size)
+                            rows.append((row, doc, size, start, simhash(one), one.view(np.int64)))
+                            continue
                         end = min(start + size - shingle + 1, len(hashes))
                         mark = int(_number(sums[end : end + 1] - sums[start : start + 1])[0])
                         rows.append((row, doc, size, start, mark, occurrences(hashes[start:end]).view(np.int64)))

@@ -167,12 +167,14 @@ def test_toxicity_learns_words_and_beginnings(spark):
 
 
 def passages(docs, items):
-    def runs(words):
-        return [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+    def runs(words, size):
+        return [tuple(words[k : k + size]) for k in range(len(words) - size + 1)]
 
     found = {}
     for (d, text), (i, item) in product(docs, items):
-        own, other = runs(words_of((text or "").encode())), runs(words_of((item or "").encode()))
+        sought = words_of((item or "").encode())
+        size = min(5, len(sought)) or 5
+        own, other = runs(words_of((text or "").encode()), size), runs(sought, size)
         if not own or not other:
             continue
         best = 0.0
@@ -194,7 +196,11 @@ def test_decontamination_against_brute_force(spark, stage, block):
         if len(words) > 30 and k % 2:
             words[int(rng.integers(0, 3))] = "changed"
         docs.append((k, prose(rng, int(rng.integers(0, 300))) + " " + " ".join(words[: len(words) - k % 4]) + " " + prose(rng, k % 50)))
+    # items of one to four words are found word for word, once a document
+    items += [(33, "Rare-pair"), (34, "one lonely little phrase"), (35, "solitary"), (36, "rare pair"), (None, "rare pair")]
     docs += [(500, None), (501, ""), (502, items[3][1].upper() + "!"), (503, "x " * 30_000 + items[4][1]), (504, "a " * 50)]
+    docs += [(505, "a rare, PAIR and a rare pair; solitary"), (506, "one lonely phrase"), (507, "x one lonely little phrase y"), (508, "pair")]
+    docs += [(None, "too\nshort"), (509, "solitary")]
     df = spark.createDataFrame([(*d, "q", 1) for d in docs], "doc_id long, text string, mark string, size int")
     bench = spark.createDataFrame([(*i, "q") for i in items], "item_id long, text string, mark string")
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.find_passages(df, bench, stage, block_items=block).collect()}
@@ -301,17 +307,116 @@ def rated(spark):
     return spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id long, quality int")
 
 
-def test_model_is_a_distribution_and_both_ways_agree(spark, stage, rated):
-    docs, labels = rated
-    model = quality.train(docs.join(quality.trusted_ids(labels), "doc_id", "left_semi"), stage)
-    tables = quality.in_memory(model)
-    for context in (b"w1 ", b"abc", b"\xff\xfe1", b"1 w"):
-        p = [np.exp(tables.total(context + bytes([c])) - tables.total(context)) for c in range(256)]
-        assert np.isclose(sum(p), 1, atol=1e-6), context
-    inline = {(r["doc_id"], r["log_p"], r["n_bytes"]) for r in quality.score_in_memory(docs, tables, ("doc_id",)).collect()}
-    joined = quality.score_by_joins(docs, model, Stage(spark, "joins"), ("doc_id",)).collect()
-    assert len(joined) == docs.count()
-    assert {(r["doc_id"], round(r["log_p"], 4), r["n_bytes"]) for r in joined} == {(d, round(p, 4), n) for d, p, n in inline}
+def kneser_ney(texts, order):
+    """The interpolated modified Kneser-Ney probability of a byte behind a context, from its definition."""
+    counts = {order: Counter(), **{k: Counter() for k in range(1, order)}}
+    for text in texts:
+        data = b"\0" * (order - 1) + text
+        counts[order].update(data[i : i + order] for i in range(len(text)))
+    for k in range(order - 1, 0, -1):
+        counts[k].update(g[1:] for g in counts[k + 1])
+
+    def discounts(k):
+        n = [sum(c == j for c in counts[k].values()) for j in range(1, 5)]
+        if not all(n[:3]):
+            return [0.5, 0.75, 0.9]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [min(max(j - (j + 1) * y * n[j] / n[j - 1], 0.1), j - 0.05) for j in (1, 2, 3)]
+
+    cut = {k: discounts(k) for k in counts}
+    behind = {k: {} for k in counts}
+    for k, grams in counts.items():
+        for g, n in grams.items():
+            behind[k].setdefault(g[:-1], []).append(n)
+
+    def p(gram, k=order):
+        if k == 0:
+            return 1 / 256
+        gram = gram[-k:] if k < len(gram) else gram
+        seen = behind[k].get(gram[:-1])
+        if seen is None:
+            return p(gram, k - 1)
+        n = counts[k].get(gram, 0)
+        own = n - cut[k][min(n, 3) - 1] if n else 0
+        return (own + sum(cut[k][min(x, 3) - 1] for x in seen) * p(gram, k - 1)) / sum(seen)
+
+    return p
+
+
+def number(gram):
+    return int.from_bytes(gram, "big")
+
+
+def probabilities(model, m, grams):
+    """Of grams by the sharded model, its shards read one by one."""
+    sought = np.array([number(g) for g in grams], np.uint64)
+    p = quality.interpolated(model.low[m], sought, np.full(len(sought), 1 / 256), 1)
+    shard = quality.shard_of(sought, model.shards)
+    for row in model.counts.collect():
+        held, n = quality._read_counts(row.asDict())
+        found = quality.levels(held, quality._three(n), quality.ORDER, quality.LOW + 1)
+        orders = range(quality.LOW + 1, quality.ORDER + 1)
+        held = [quality.Level.of(found[k][0], found[k][1][m], model.discounts[m][k - quality.LOW - 1]) for k in orders]
+        mine = shard == row["shard"]
+        p[mine] = quality.interpolated(held, sought[mine], p[mine], quality.LOW + 1)
+    return p
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_model_is_kneser_ney(spark, monkeypatch, shards):
+    """Against the definition, for the model of all and those of either fold; and a distribution."""
+    rng = np.random.default_rng(15)
+    texts = [prose(rng, int(n)) for n in rng.integers(1, 40, 60)] + ["é", "", "aaaaaaaaaaaaaa", "aab" * 9] + [None]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    with_fold = docs.withColumn("fold", quality.fold()).collect()
+    monkeypatch.setattr(quality, "SHARD", 1000)
+    model = quality.train(docs, Stage(spark, "kn"), 1000 * shards)
+    assert model.shards == shards
+    known = [t.encode() for t in texts if t]
+    sought = {b"\0" * (quality.ORDER - 1) + t for t in known} | {b"zzzzzzz" + known[0], b"w1 zz 9 w1"}
+    grams = sorted({s[i : i + quality.ORDER] for s in sought for i in range(len(s) - quality.ORDER + 1)})
+    grams += [g[:-1] + bytes([c]) for g in grams[:: len(grams) // 4] for c in range(256)]
+    for m in quality.MODELS:
+        own = [r["text"].encode() for r in with_fold if r["text"] and m in (0, r["fold"])]
+        p = kneser_ney(own, quality.ORDER)
+        got = probabilities(model, m, grams)
+        assert got == pytest.approx([p(g) for g in grams], rel=1e-9)
+        assert sum(got[-256:]) == pytest.approx(1)
+
+
+def test_scores_by_shards_are_those_of_the_model(spark, monkeypatch):
+    """Chunks, shards and parts of shards change nothing."""
+    rng = np.random.default_rng(16)
+    texts = [prose(rng, int(n)) for n in rng.integers(1, 60, 80)] + [None, "", "é" * 3000, "#$% " * 50, prose(rng, 4000)]
+    rows = [(k, t, k % 3) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m int").repartition(4)
+    monkeypatch.setattr(quality, "SHARD", 10_000)
+    for chunk, dealt in ((1 << 24, 1 << 30), (3000, 4000)):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        monkeypatch.setattr(quality, "DEALT", dealt)
+        model = quality.train(docs.where("doc_id < 60").select("doc_id", "text"), Stage(spark, "train"), 50_000)
+        assert (model.shards, model.deal) == (5, 1 if dealt > 4000 else 3)
+        scored = quality.score_documents(docs, model, ("doc_id",), by=F.col("m"))
+        found = scored.collect()
+        # texts move once
+        assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()
+        got = {r["doc_id"]: (r["log_p"], r["n_bytes"]) for r in found}
+        assert len(found) == len(rows)
+        for k, text, m in rows:
+            data = (text or "").encode()
+            padded = b"\0" * (quality.ORDER - 1) + data
+            grams = [padded[i : i + quality.ORDER] for i in range(len(data))]
+            wanted = np.log(probabilities(model, m, grams)).sum() if grams else 0.0
+            assert got[k][1] == len(data) and got[k][0] == pytest.approx(wanted, abs=0.51 / quality.SCALE * len(data) + 1e-9)
+
+
+def test_arrays_are_packed_whole():
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 1 << 63, 1000).astype(np.uint64), np.zeros(0, np.uint64), np.arange(70_000).astype(np.uint16)):
+        assert (quality.unpacked(quality.packed(values), values.dtype) == values).all()
+    grams = np.unique(rng.integers(0, 1 << 56, 1000).astype(np.uint64))
+    order, data = quality.sent(grams)
+    assert (quality.received(data) == grams[order]).all()
 
 
 def test_quality_keeps_clean_and_rejects_junk(spark, stage, rated):
@@ -329,14 +434,16 @@ def test_quality_keeps_clean_and_rejects_junk(spark, stage, rated):
     assert quality.rate_documents(docs.limit(0), labels, Stage(spark, "empty")).count() == 0
 
 
-def test_quality_is_scored_by_joins_with_a_model_that_grows(spark, stage, monkeypatch):
-    monkeypatch.setattr(quality, "in_memory", None)  # no model is taken to one place
+def test_quality_model_grows_with_the_text(spark, stage):
     rng = np.random.default_rng(13)
-    docs = spark.createDataFrame([doc(k, prose(rng, 200, 5_000)) for k in range(80)], DOCS).localCheckpoint()
-    labels = docs.select("doc_id", F.lit(1).alias("quality"))
-    assert quality.rate_documents(docs, labels, stage).count() == 80
-    few, many = (quality.count_grams(docs.where(f"doc_id < {n}")).count() for n in (20, 80))
-    assert many > 2 * few
+    docs = stage.table(spark.createDataFrame([doc(k, prose(rng, 200, 5_000)) for k in range(80)], DOCS), "docs")
+
+    def size(n):
+        counts = quality.count_grams(docs.where(f"doc_id < {n}"), 4).collect()
+        assert [r["shard"] for r in counts] and len(counts) == len({r["shard"] for r in counts}) <= 4
+        return sum(len(quality.received(r["grams"])) for r in counts)
+
+    assert size(80) > 2 * size(20)
 
 
 def test_quality_limits_of_few_or_equal_texts(spark):
