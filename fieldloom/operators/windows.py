@@ -23,7 +23,7 @@ def lowest_per_key(df: DataFrame, keys: Sequence[str], digest: str, ties: Sequen
 
     For any ``keep``: rows are counted by the first four digits, so what lies wholly below
     the limit is kept as it is, and only the one part in 65,536 of a key that the limit
-    falls into is sorted.
+    falls into is sorted. ``df`` is read twice: stage it.
     """
     part = F.coalesce(F.substring(F.col(digest), 1, 4), F.lit(""))
     counts = df.groupBy(*keys, part.alias("_part")).agg(F.count("*").alias("_n"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import codes
 from fieldloom.functions.hashing import hash_coalesced
 from fieldloom.operators.windows import best_per_key, lowest_per_key
+from fieldloom.session import stage_table
 
 # fixed values: the columns of the export, in its order
 EXPORT = [
@@ -106,7 +107,8 @@ def people_view(
 ) -> DataFrame:
     """The export columns and ``person_hash``, for one home state or for all of them.
 
-    ``max_records`` keeps that many people per home state, lowest hashes first.
+    ``max_records`` keeps that many people per home state, lowest hashes first; people are
+    then written once to the shared folder, since they are counted before they are chosen.
     """
     if state:
         addresses = addresses.where(F.col("state") == state)
@@ -127,4 +129,5 @@ def people_view(
     )
     if max_records is None:
         return hashed
-    return lowest_per_key(hashed, ["state_or_province"], "person_hash", ["source_external_id"], max_records)
+    staged = stage_table(hashed, "people")
+    return lowest_per_key(staged, ["state_or_province"], "person_hash", ["source_external_id"], max_records)

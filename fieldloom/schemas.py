@@ -13,6 +13,8 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# --- fixed values: columns of the logs and of the JSON inputs, as stored tables have them ---
+
 SURVEY_LOG = struct(
     myv_van_id=_LONG,
     survey_question_id=_LONG,
@@ -64,3 +66,5 @@ WORKFLOW = struct(
 )
 
 JOB = struct(id=_LONG, name=_TEXT, type=_TEXT, state=_TEXT, runs=T.ArrayType(RUN), schedule=SCHEDULE)
+
+# --- end of fixed values ---
