@@ -84,9 +84,18 @@ def grams_of(text: bytes) -> np.ndarray:
     return gram
 
 
+def all_grams(texts: list[bytes]) -> np.ndarray:
+    """The grams of some texts, one text after the other."""
+    every, at = np.empty(sum(map(len, texts)), np.uint64), 0
+    for text in texts:
+        every[at : at + len(text)] = grams_of(text)
+        at += len(text)
+    return every
+
+
 def distinct_grams(texts: list[bytes]) -> np.ndarray:
     """The distinct grams of some texts, in order."""
-    grams = np.concatenate([np.zeros(0, np.uint64), *map(grams_of, texts)])
+    grams = all_grams(texts)
     grams.sort()
     return grams[np.r_[True, grams[1:] != grams[:-1]]] if len(grams) else grams
 
@@ -179,8 +188,7 @@ def count_grams(docs: DataFrame, shards: int) -> DataFrame:
         def flush():
             parts = []
             for k, texts in held.items():
-                grams = np.concatenate([np.zeros(0, np.uint64), *map(grams_of, texts)])
-                distinct, n = np.unique(grams, return_counts=True)
+                distinct, n = np.unique(all_grams(texts), return_counts=True)
                 parts.append((distinct, np.array([n * (k == 1), n * (k == 2)])))
             grams, n = _merged(parts)
             for shard, places in _by_shard(grams, shards):
@@ -406,8 +414,7 @@ def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...], prefix
         for chunk in chunks.column("chunk").to_pylist():
             rows = pa.ipc.open_stream(chunk).read_all()
             texts = _texts(rows, text_at)
-            every = np.concatenate([np.zeros(0, np.uint64), *map(grams_of, texts)])
-            coded = pa.array(every).dictionary_encode()
+            coded = pa.array(all_grams(texts)).dictionary_encode()
             grams, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
             costs = np.zeros(len(grams), np.float32)
             for shard, places in _by_shard(grams, shards):
