@@ -55,7 +55,9 @@ WIDTH = 4.0
 SUPPORT = 20
 LEAST_SPREAD = 0.02
 #: Bytes of text whose grams are counted, or looked up, together.
-CHUNK = 1 << 24
+CHUNK = 12 << 20
+#: Bytes of it that are added up at a time.
+ADDED = 1 << 21
 #: Bytes of scored text per shard, and shards at most; and per task that has a shard's counts.
 SHARD, MOST_SHARDS, DEALT = 1 << 24, 4096, 1 << 30
 #: Parts of a unit that log-probabilities are rounded to; they go down to -512.
@@ -342,6 +344,31 @@ def _texts(rows: pa.Table | pa.RecordBatch, place: int) -> list[bytes]:
     return [t or b"" for t in rows.column(place).cast(pa.binary()).to_pylist()]
 
 
+def _runs(texts: list[bytes], size: int) -> Iterator[list[bytes]]:
+    """Texts in runs of about so many bytes."""
+    held, n = [], 0
+    for text in texts:
+        held.append(text)
+        n += len(text)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def added(texts: list[bytes], grams: np.ndarray, costs: np.ndarray) -> list[float]:
+    """What the grams of each text cost together, by the costs of grams in order."""
+    coded = pa.array(all_grams(texts)).dictionary_encode()
+    own = coded.dictionary.to_numpy()
+    order = np.argsort(own)
+    # those sought are in order, so neighbours are found in one place
+    own_costs = np.empty(len(own), np.float32)
+    own_costs[order] = costs[np.searchsorted(grams, own[order])]
+    cost, ends = own_costs[coded.indices.to_numpy()], np.cumsum([len(t) for t in texts])
+    return [float(cost[end - len(t) : end].sum(dtype=np.float64)) for t, end in zip(texts, ends)]
+
+
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...], prefix: str = "", by: Column | None = None) -> DataFrame:
     """The columns ``keep`` with ``log_p`` and ``n_bytes`` of every document.
 
@@ -414,14 +441,11 @@ def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...], prefix
         for chunk in chunks.column("chunk").to_pylist():
             rows = pa.ipc.open_stream(chunk).read_all()
             texts = _texts(rows, text_at)
-            coded = pa.array(all_grams(texts)).dictionary_encode()
-            grams, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+            grams = distinct_grams(texts)
             costs = np.zeros(len(grams), np.float32)
             for shard, places in _by_shard(grams, shards):
                 costs[places[sent(grams[places])[0]]] = unpacked(values.pop(shard), np.uint16)
-            cost = costs[code]
-            ends = np.cumsum([len(t) for t in texts])
-            sums = [-float(cost[end - len(t) : end].sum(dtype=np.float64)) / SCALE for t, end in zip(texts, ends)]
+            sums = [-total / SCALE for some in _runs(texts, ADDED) for total in added(some, grams, costs)]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             scored.append(pa.Table.from_arrays([*rows.columns[: len(keep)], pa.array(sums, pa.float64()), sizes], [*keep, *new]))
         return pa.concat_tables(scored)
