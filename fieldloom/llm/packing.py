@@ -30,7 +30,7 @@ from fieldloom.llm.common import Stage
 #: Tokenized words that a worker remembers; it starts anew when they are so many.
 MEMORY = 1_000_000
 #: Bytes of text whose ids are put together at once.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 22
 
 
 @functools.cache
