@@ -1,8 +1,8 @@
 """Importance resampling towards a target distribution of hashed word n-grams.
 
 A text is lowered (A-Z), its separators are collapsed to single spaces, and an
-overlapped regular expression with boundary lookarounds emits the span of every run of
-1 to ``max_n`` words; the bytes of a span are counted by crc32 in a fixed number of
+overlapped regular expression with a boundary lookaround emits the spans of the runs of
+1 to ``max_n`` words that begin at each word, as nested groups; the bytes of a span are counted by crc32 in a fixed number of
 buckets. What a bucket gains is the logarithm of its share in the target over its share
 in the documents; a document's weight is the sum of its features' gains. Documents are
 drawn by the highest weight plus Gumbel noise, the noise being a hash of the id, so a
@@ -21,9 +21,8 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice
-from operator import itemgetter
+from collections.abc import Iterator, Sequence
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -42,15 +41,22 @@ MIN_WORDS = 20
 #: Share of the documents that may be drawn, in hundredths.
 DRAWN = 5
 SEED = 42
-#: Spans of a text that are held at a time.
-SPANS_AT_ONCE = 1 << 20
+#: Spans of one length that are held of a text at a time, at most.
+SPANS_AT_ONCE = 1 << 16
 
 _COUNTED = "doc_id long, n_words long, n_features long, gaps binary, counts binary"
 
 
-def span_patterns(max_n: int = MAX_N) -> list[regex.Pattern]:
-    """One pattern per length; a span lies between single spaces, which are not part of it."""
-    return [regex.compile(rb" \K[^ ]+(?: [^ ]+){%d}(?= )" % (n - 1)) for n in range(1, max_n + 1)]
+def span_patterns(max_n: int = MAX_N) -> regex.Pattern:
+    """The spans that begin at a word as nested groups, the longest first: one scan finds all lengths.
+
+    Words lie between single spaces. Near the end of a text, where fewer words are left,
+    the longer groups are as short as what is left.
+    """
+    nested = rb"([^ ]+)"
+    for _ in range(max_n - 1):
+        nested = rb"(%b(?: [^ ]+)?)" % nested
+    return regex.compile(rb" %b(?= )" % nested)
 
 
 def collapsed(text: bytes | None) -> bytes:
@@ -58,19 +64,32 @@ def collapsed(text: bytes | None) -> bytes:
     return b" " + b" ".join(words_of(text)) + b" "
 
 
+def _spans(flat: bytes, pattern: regex.Pattern) -> Iterator[list[Sequence[bytes]]]:
+    """The spans of a text by length, shortest first; a long text comes in pieces."""
+    longest, low, more = pattern.groups, 0, True
+    while more:
+        # a word and its space have two bytes or more; a piece overlaps the next by all but one word of a span
+        high = end = flat.find(b" ", low + 2 * SPANS_AT_ONCE)
+        for _ in range(longest - 1):
+            end = flat.find(b" ", end + 1) if end >= 0 else end
+        more = end >= 0
+        rows = pattern.findall(flat, low, end + 1 if more else len(flat), overlapped=True)
+        columns = [rows] if longest == 1 else list(zip(*rows))[::-1]
+        yield [c[: max(len(rows) - (longest - 1 if more else n), 0)] for n, c in enumerate(columns)]
+        low = high
+
+
 def ngrams(text: bytes | None, max_n: int = MAX_N) -> Iterator[bytes]:
-    """Every run of 1 to ``max_n`` words, shortest first."""
-    flat = collapsed(text)
-    for pattern in span_patterns(max_n):
-        yield from map(itemgetter(0), pattern.finditer(flat, overlapped=True))
+    """Every run of 1 to ``max_n`` words."""
+    for spans in _spans(collapsed(text), span_patterns(max_n)):
+        yield from chain.from_iterable(spans)
 
 
-def _bucket_counts(flat: bytes, patterns: list[regex.Pattern], n_buckets: int) -> np.ndarray:
+def _bucket_counts(flat: bytes, pattern: regex.Pattern, n_buckets: int) -> np.ndarray:
     counts = np.zeros(n_buckets, np.int64)
-    for pattern in patterns:
-        hashes = map(crc32, map(itemgetter(0), pattern.finditer(flat, overlapped=True)))
-        while len(some := np.fromiter(islice(hashes, SPANS_AT_ONCE), np.uint32)):
-            counts += np.bincount(some % n_buckets, minlength=n_buckets)
+    for spans in _spans(flat, pattern):
+        hashes = np.fromiter(map(crc32, chain.from_iterable(spans)), np.uint32)
+        counts += np.bincount(hashes % n_buckets, minlength=n_buckets)
     return counts
 
 
@@ -84,13 +103,13 @@ def count_features(docs: DataFrame, n_buckets: int = N_BUCKETS, max_n: int = MAX
         raise ValueError("at most 65,536 buckets")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = span_patterns(max_n)
+        pattern = span_patterns(max_n)
         for batch in batches:
             words, features, gaps, counts = [], [], [], []
             for text in batch.column(1):
                 flat = collapsed(text.as_buffer().to_pybytes() if text.is_valid else None)
                 words.append(flat.count(b" ") - 1 if len(flat) > 2 else 0)
-                found = _bucket_counts(flat, patterns, n_buckets)
+                found = _bucket_counts(flat, pattern, n_buckets)
                 filled = np.flatnonzero(found)
                 features.append(int(found.sum()))
                 gaps.append(np.diff(filled, prepend=0).astype("<u2").tobytes())

@@ -110,6 +110,20 @@ def test_importance_counts_in_bounded_pieces(monkeypatch):
     assert (importance._bucket_counts(flat, importance.span_patterns(), 50) == whole).all() and whole.sum() == 27
 
 
+@pytest.mark.parametrize("max_n", [1, 2, 3, 4])
+def test_one_scan_finds_spans_of_all_lengths(monkeypatch, max_n):
+    pattern = importance.span_patterns(max_n)
+    assert pattern.groups == max_n
+    for text in ("", "a", "a b", "a b c", "é ab c de fgh i", " ".join("abcdefghij" * 30), "x" * 5000 + " y z " + "w" * 99):
+        words = text.encode().split()
+        expected = sorted(b" ".join(words[i : i + n]) for n in range(1, max_n + 1) for i in range(len(words) - n + 1))
+        for piece in (1, 2, 3, 7, 1 << 16):
+            monkeypatch.setattr(importance, "SPANS_AT_ONCE", piece)
+            assert sorted(importance.ngrams(text.encode(), max_n)) == expected
+            counts = importance._bucket_counts(importance.collapsed(text.encode()), pattern, 50)
+            assert counts.sum() == len(expected)
+
+
 # -- prefix trie
 
 TURNS = "conv_id long, turn long, role string, text string, id string, depth long, chain string"
