@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions import matchkeys
@@ -51,11 +51,17 @@ class Likeness:
 
 
 def _records(df: DataFrame, id_col: str, columns: Mapping[str, str], fields: Mapping[str, float], name: str) -> DataFrame:
-    """(name, full, v0.., mask): the normal full name and fields of each record that has both names."""
+    """(name, full, v0.., mask): the normal full name and fields of each record that has both names.
+
+    Copies of a record go first: the normal forms are then worked out behind a shuffle, by
+    as many tasks as there is work for, however few files the records come from.
+    """
+    wanted = dict.fromkeys([id_col, *(columns[f] for f in ("first_name", "last_name", *fields))])
+    df = df.where(F.col(id_col).isNotNull()).select(*wanted).distinct()
     normal = {f: matchkeys.normal(f, F.col(columns[f])) for f in ("first_name", "last_name", *fields)}
     values = [normal[f].alias(f"v{i}") for i, f in enumerate(fields)]
     full = F.concat(normal["first_name"], F.lit(" "), normal["last_name"])
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(name), full.alias("full"), *values)
+    rows = df.select(F.col(id_col).alias(name), full.alias("full"), *values)
     filled = [F.col(f"v{i}").isNotNull().cast("int") * (1 << i) for i in range(len(fields))]
     return rows.where(F.col("full").isNotNull()).withColumn("mask", sum(filled, F.lit(0)))
 
@@ -100,13 +106,15 @@ def similar_candidates(
     times is as alike as its best row.
     """
     fields = likeness.used(config)
-    sources = staging.table(_records(source, config.key, config.mapped, fields, "source_id").distinct(), "source_records")
-    persons = staging.table(_records(people, id_col, config.person, fields, "matched_id").distinct(), "person_records")
+    sources = staging.table(_records(source, config.key, config.mapped, fields, "source_id"), "source_records")
+    persons = staging.table(_records(people, id_col, config.person, fields, "matched_id"), "person_records")
     names = staging.table(similar_names(sources, persons), "similar_names")
 
     index = _shared_keys(persons, "full", len(fields)).select("key", F.col("mask").alias("person_mask"), "matched_id")
-    index = best_per_key(index.distinct(), ["key", "person_mask"], [F.col("matched_id")], config.matches_per_id)
-    index = staging.table(index, "similarity_index")
+    # ids are ranked before their repeats under a key go: only the lowest ones of each task move
+    rank = F.dense_rank().over(Window.partitionBy("key", "person_mask").orderBy("matched_id"))
+    lowest = index.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id).drop("_rank")
+    index = staging.table(lowest.distinct(), "similarity_index")
 
     asked = sources.join(names, "full")
     longest = F.greatest(F.length("full"), F.length("person_full"))

@@ -150,6 +150,29 @@ def test_edges(spark):
         Likeness(fields=dict.fromkeys([*WEIGHTS, "city", "state_code", "gender"], 1.0)).used(many)
 
 
+def test_index_moves_the_lowest_ids_only(spark):
+    """Ids are cut to the lowest of each task before they move, once; copies of a record take no place."""
+    plans = {}
+
+    class Watched(session.Staging):
+        def table(self, df, name):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return super().table(df, name)
+
+    blank = dict.fromkeys(FIELDS)
+    one = {"voterbase_id": "V1", **blank, "first_name": "Ann", "last_name": "Li", "zip": "10001"}
+    spelled = [{**one, "zip": z, "first_name": f} for z in ("10001", "10001-2000", "60601") for f in ("Ann", "ANN ")]
+    others = [{**one, "voterbase_id": f"V{k}"} for k in range(2, 6)]
+    sources = [{"pk": 1, **blank, "first_name": "Ann", "last_name": "Li", "zip": "10001"}]
+    sources.append({**sources[0], "first_name": "ann"})
+    with Watched(spark, "similar") as staging:
+        found = similarity.similar_candidates(CONFIG, *frames(spark, sources, spelled + others), staging)
+        assert sorted(map(tuple, found.collect())) == [(1, f"V{k}", 1.0) for k in (1, 2, 3)]
+    index = plans["similarity_index"].split("== Initial Plan ==")[-1]
+    assert index.count("Exchange hashpartitioning") == 1
+    assert index.index("Exchange") < index.rindex("WindowGroupLimit")
+
+
 def test_hot_name_is_split(spark):
     """A third of 30,000 sources and people share a name: no pairs within it, and its sources are dealt to several tasks."""
     small = {
