@@ -11,6 +11,12 @@ only, a source row needs no more than the ``matches_per_id`` lowest person ids o
 each key to get its exact top list: any further person under a key is preceded by
 those with the same score. So the person file is cut to that many ids per key before
 it meets the sources, and the pairs inside a large key group are never formed.
+
+Most records share the values of some of their fields with others. So keys are made of
+distinct combinations of values, not of records: rules that look at the same fields form
+a block, each combination of a block's fields finds its best people once, and a record
+takes over what its combinations have found. That is exact as well: whoever is among a
+record's best by some rule is among the best of that rule's combination.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -135,6 +143,23 @@ class MatchConfig:
         person = {f for f, c in self.person.items() if c}
         return [(i, r) for i, r in enumerate(self.rules) if set(r.fields) <= set(self.mapped) & person]
 
+    def blocks(self) -> list[tuple[tuple[str, ...], list[tuple[int, MatchRule]]]]:
+        """The rules in use by the fields whose values they need: (fields, numbered rules).
+
+        A rule goes with one that looks at more fields than its own. Those with a near
+        field have many keys: they stay with the few values that they need themselves.
+        """
+        rules = self.rules_in_use()
+        sets = {frozenset(r.fields) for _, r in rules}
+        near = {frozenset(r.fields) for _, r in rules if "near" in r.fields.values()}
+        whole = [s for s in sets if s in near or not any(s < other for other in sets)]
+        blocks: dict[tuple[str, ...], list[tuple[int, MatchRule]]] = {}
+        for number, rule in rules:
+            own = frozenset(rule.fields)
+            wide = own if own in near else min((s for s in whole if own <= s), key=lambda s: (len(s), sorted(s)))
+            blocks.setdefault(tuple(sorted(wide)), []).append((number, rule))
+        return list(blocks.items())
+
 
 def mapped_columns(config: MatchConfig, df: DataFrame) -> DataFrame:
     """The mapped columns of a source, and nothing else of it."""
@@ -157,8 +182,8 @@ def rematch_universe(
     return rows.withColumn("chunk", chunk_of(F.col(config.key), chunks))
 
 
-def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
-    """Array of (score, key) of a record, over all rules; NULL keys for missing fields.
+def _keys(config: MatchConfig, block: Column, columns: Mapping[str, Column]) -> Column:
+    """Array of (score, key) of a combination, over the rules of its block; NULL keys for missing fields.
 
     A key is the digest of the rule's number and its fields.
     """
@@ -168,30 +193,58 @@ def _keys(config: MatchConfig, columns: Mapping[str, Column]) -> Column:
         # 16 bytes, however long the fields are
         return F.struct(F.lit(rule.score).alias("score"), F.unhex(F.md5(key)).alias("key"))
 
-    single, several = [], []
-    for number, rule in config.rules_in_use():
+    def keys(number: int, rule: MatchRule) -> Column:
         near = [f for f, how in rule.fields.items() if how == "near"]
         parts = [matchkeys.part(columns[f], how) for f, how in reversed(rule.fields.items()) if how != "near"]
         key = F.concat(*[x for p in parts for x in (p, mark)], F.lit(str(number)))
-        if near:
-            forms = matchkeys.one_letter_less(columns[near[0]], lambda f, k=key, r=rule: scored(r, F.concat(k, mark, f)))
-            several.append(F.coalesce(F.array_distinct(forms), F.array()))
-        else:
-            single.append(scored(rule, key))
-    return F.concat(F.array(*single), *several)
+        if not near:
+            return F.array(scored(rule, key))
+        forms = matchkeys.one_letter_less(columns[near[0]], lambda f: scored(rule, F.concat(key, mark, f)))
+        return F.coalesce(F.array_distinct(forms), F.array())
+
+    of_block = [F.concat(*[keys(*r) for r in rules]) for _, rules in config.blocks()]
+    return reduce(lambda other, b: F.when(block == b, of_block[b]).otherwise(other), range(len(of_block)), F.array())
 
 
-def _keyed(
+def _combinations(
     config: MatchConfig, df: DataFrame, columns: Mapping[str, str], id_col: str, name: str, carried: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per record and key: the id, what is carried along, the score of the rule, the key."""
-    used = dict.fromkeys(f for _, rule in config.rules_in_use() for f in rule.fields)
+    """One row per record and block that has a rule for it: the id, what is carried along, the block's values.
+
+    ``combination`` is the digest of a block's number and values, ``_n_`` columns hold
+    the values; those of other blocks are NULL.
+    """
+    blocks = config.blocks()
+    used = dict.fromkeys(f for fields, _ in blocks for f in fields)
+    normal = {f: F.col(f"_n_{f}") for f in used}
     plain = df.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias(name), *carried, *[matchkeys.normal(f, F.col(columns[f])).alias(f"_n_{f}") for f in used]
     )
-    keys = F.explode(_keys(config, {f: F.col(f"_n_{f}") for f in used}))
-    exploded = plain.select(name, *carried, keys.alias("k")).where(F.col("k.key").isNotNull())
-    return exploded.select(name, *carried, "k.score", "k.key")
+    mark = F.lit(matchkeys.SEPARATOR)
+    structs = []
+    for number, (fields, rules) in enumerate(blocks):
+        filled = [reduce(and_, [normal[f].isNotNull() for f in rule.fields]) for _, rule in rules]
+        # normal values are never empty and hold no mark
+        text = F.concat(F.lit(str(number)), *[x for f in fields for x in (mark, F.coalesce(normal[f], F.lit("")))])
+        values = [(normal[f] if f in fields else F.lit(None).cast("string")).alias(f"_n_{f}") for f in used]
+        one = F.struct(F.lit(number).alias("_block"), F.unhex(F.md5(text)).alias("combination"), *values)
+        structs.append(F.when(reduce(or_, filled), one))
+    if not structs:
+        nothing = F.lit(None)
+        rows = plain.withColumns({"_block": nothing.cast("int"), "combination": nothing.cast("binary")})
+        return rows.where(F.lit(False))
+    exploded = plain.select(name, *carried, F.explode(F.array(*structs)).alias("c")).where(F.col("c").isNotNull())
+    return exploded.select(name, *carried, "c.*")
+
+
+def _keyed(config: MatchConfig, combinations: DataFrame, *kept: str) -> DataFrame:
+    """One row per combination and key: the columns kept, the score of the rule, the key."""
+    columns = {f: F.col(f"_n_{f}") for fields, _ in config.blocks() for f in fields}
+    if not columns:
+        nothing = {"score": F.lit(None).cast("double"), "key": F.lit(None).cast("binary")}
+        return combinations.select(*kept).withColumns(nothing)
+    exploded = combinations.select(*kept, F.explode(_keys(config, F.col("_block"), columns)).alias("k"))
+    return exploded.where(F.col("k.key").isNotNull()).select(*kept, "k.score", "k.key")
 
 
 def _tied(config: MatchConfig) -> dict[str, Column]:
@@ -217,11 +270,15 @@ def person_index(config: MatchConfig, people: DataFrame, id_col: str = "voterbas
         listed = listed.withColumn(id_col, F.col("matched_id"))
     lowest = listed.groupBy("matched_id").agg(F.min(F.struct(F.col("_p.person_id").isNull(), "_p")).alias("_lowest"))
     once = listed.drop("_p").join(lowest, "matched_id").select("*", "_lowest._p.*").drop("_lowest")
+
+    def lowest_ids(rows: DataFrame, of: str) -> DataFrame:
+        rank = F.dense_rank().over(Window.partitionBy(of).orderBy("matched_id"))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id).drop("_rank")
+
+    combinations = _combinations(config, once.distinct(), config.person, "matched_id", "matched_id", CARRIED)
+    keyed = _keyed(config, lowest_ids(combinations, "combination"), "matched_id", *CARRIED)
     # repeats of an id under a key go before ids are ranked
-    keyed = _keyed(config, once, config.person, "matched_id", "matched_id", CARRIED).drop("score").distinct()
-    rank = F.dense_rank().over(Window.partitionBy("key").orderBy("matched_id"))
-    ranked = keyed.withColumn("_rank", rank).where(F.col("_rank") <= config.matches_per_id)
-    return ranked.select("key", "matched_id", *CARRIED)
+    return lowest_ids(keyed.select("key", "matched_id", *CARRIED).distinct(), "key")
 
 
 def match_candidates(
@@ -233,11 +290,16 @@ def match_candidates(
     without any candidate is there once, with NULLs; with ``carry`` the rows have the
     ``CARRIED`` columns of the index too, which ``best_match`` then need not look up.
     """
-    keyed = _keyed(config, source, config.mapped, config.key, "source_id")
     carried = CARRIED if carry else []
-    pairs = keyed.join(index.select("key", "matched_id", *carried), "key")
-    pairs = pairs.groupBy("source_id", "matched_id", *carried).agg(F.max("score").alias("score"))
-    top = best_per_key(pairs, ["source_id"], [F.desc("score"), F.col("matched_id")], config.matches_per_id)
+
+    def best(pairs: DataFrame, of: str) -> DataFrame:
+        scored = pairs.groupBy(of, "matched_id", *carried).agg(F.max("score").alias("score"))
+        return best_per_key(scored, [of], [F.desc("score"), F.col("matched_id")], config.matches_per_id)
+
+    combinations = _combinations(config, source, config.mapped, config.key, "source_id")
+    asked = _keyed(config, combinations.drop("source_id").distinct(), "combination")
+    found = best(asked.join(index.select("key", "matched_id", *carried), "key"), "combination")
+    top = best(combinations.select("source_id", "combination").join(found, "combination"), "source_id")
     if not keep_unmatched:
         return top
     ids = source.select(F.col(config.key).alias("source_id")).where(F.col("source_id").isNotNull()).distinct()

@@ -271,3 +271,45 @@ def test_repeated_id_stands_with_its_lowest_person(spark, rows):
         (1, "V1", 0.85, "P3"), (2, "V1", 0.5, "P3"),
     ]
     assert sorted(r.pk for r in matching.best_match(CONFIG, found, source, run_date=DAY).collect()) == [1, 2]
+
+
+def test_rules_form_blocks_by_their_fields():
+    fields = ["phone", "email", "full_address", "city", "birth_date"]
+    config = MatchConfig(
+        pii={**CONFIG.pii, **{f: f for f in fields}}, person={**CONFIG.person, **{f: f for f in fields}}
+    )
+    blocks = {fields: [r.score for _, r in rules] for fields, rules in config.blocks()}
+    assert blocks == {
+        ("email", "last_name"): [0.98, 0.5], ("last_name", "phone"): [0.96, 0.45],
+        ("birth_date", "first_name", "last_name"): [0.95], ("first_name", "full_address", "last_name", "zip"): [0.92],
+        ("first_name", "last_name", "zip"): [0.85, 0.75, 0.7, 0.65],
+        ("city", "first_name", "last_name", "state_code"): [0.55, 0.35, 0.25],
+    }
+    assert MatchConfig(pii={"primary_key": "pk"}, person={}).blocks() == []
+
+
+def test_keys_are_made_once_of_equal_values(spark, rows, monkeypatch):
+    """900 sources and 900 people of three names: keys are made of their names, not of each record."""
+    made = []
+    keyed = matching._keyed
+
+    def counted(config, frame, *more, **named):
+        made.append(frame.count())
+        return keyed(config, frame, *more, **named)
+
+    monkeypatch.setattr(matching, "_keyed", counted)
+    names = [("Ann", "Li"), ("Bob", "Ray"), ("Cy", "Dee")]
+    people = rows(PERSON, *[(f"P{i}", f"V{i:04d}", *names[i % 3], "NY", "10001", None) for i in range(900)])
+    source = rows(SOURCE, *[(i, *names[i % 3], "ny", "10001", None) for i in range(900)])
+    index = session.stage_table(matching.person_index(CONFIG, people), "index")
+    found = matching.match_candidates(CONFIG, source, index, keep_unmatched=False).collect()
+    # two blocks of each name, and the three lowest people of each
+    assert made == [3 * 2 * 3, 3 * 2]
+    assert sorted(map(tuple, found)) == [(i, f"V{i % 3 + 3 * k:04d}", 0.85) for i in range(900) for k in range(3)]
+
+
+def test_records_without_a_usable_rule(spark, rows):
+    config = MatchConfig(pii={"primary_key": "pk", "email": "email"}, person={"zip": "zip"})
+    index = session.stage_table(matching.person_index(config, rows(PERSON, ("P1", "V1", "a", "b", "NY", "1", "e"))), "index")
+    found = matching.match_candidates(config, rows(SOURCE, (1, "a", "b", "NY", "1", "e")), index)
+    assert [tuple(r) for r in found.collect()] == [(1, None, None)]
