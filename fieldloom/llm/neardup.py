@@ -189,11 +189,13 @@ def _sampled(weights):
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                digests, samples, bands = [], [], []
-                texts = part.column(1).to_pylist()
-                for text in texts:
+                packed, digests, samples, bands = [], [], [], []
+                for text in part.column(1).to_pylist():
                     words = words_of(text)
-                    digests.append(md5(b" ".join(words)).digest())
+                    # the words are all that is compared, and pack better than the text
+                    flat = b" ".join(words)
+                    packed.append(zlib.compress(flat, 6))
+                    digests.append(md5(flat).digest())
                     hashes, counts = weigh(words, numbers)
                     if len(hashes):
                         found = sample(hashes, counts * by_cell[_cell(hashes)])
@@ -205,7 +207,7 @@ def _sampled(weights):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([zlib.compress(t, 1) for t in texts], pa.binary()),
+                        pa.array(packed, pa.binary()),
                         pa.array(digests, pa.binary()),
                         pa.array(samples, pa.list_(pa.int32())),
                         pa.array(bands, pa.list_(pa.int64())),

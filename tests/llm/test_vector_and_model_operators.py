@@ -1,9 +1,12 @@
 """Embedding near-duplicates, toxicity, decontamination, document near-duplicates, quality, pipeline."""
 
+import zlib
 from collections import Counter
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +246,23 @@ def test_large_group_of_near_copies(spark, stage):
     components_match(df, docs, neardup.near_duplicates(df, stage, block=16).collect())
 
 
+def test_texts_travel_as_their_words():
+    """What near-duplicates keep of a text to compare it: all its words, in less room than the text takes."""
+    texts = ["", "One, TWO -- three!", " ".join(f"Word{i % 97}, (of) No. {i * i % 1009}: «Ünï{i % 13}»;" for i in range(400))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array([t.encode() for t in texts], pa.binary())], ["doc_id", "text"]
+    )
+    weights = SimpleNamespace(value=np.ones(neardup.CELLS, np.float32))
+    kept = [t for out in neardup._sampled(weights)([batch]) for t in out.column(1).to_pylist()]
+    numbers = neardup.WordNumbers()
+    for text, packed in zip(texts, kept, strict=True):
+        flat = zlib.decompress(packed)
+        assert flat == b" ".join(words_of(text.encode()))
+        for one, other in zip(*(neardup.weighted_set(t, numbers, weights.value) for t in (flat, text.encode())), strict=True):
+            assert (one == other).all()
+    assert len(kept[2]) < 0.95 * len(zlib.compress(texts[2].encode(), 1))
+
+
 def test_blocks_pair_all_that_is_not_joined(spark):
     members = [(1, k, 7 if k >= 5 else k) for k in range(1000)] + [(2, k, k) for k in range(30)] + [(3, 1, 1), (3, 2, 1)]
     df = spark.createDataFrame(members, "bucket long, class long, component long")
