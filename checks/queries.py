@@ -799,8 +799,9 @@ def match_job(spark, sf):
     output = VersionedTable(spark, session.new_name("matched"), key="pk", buckets=8)
     history = VersionedTable(spark, session.new_name("cleaned"), key="pk", buckets=8)
     source, person = _match_inputs(spark, sf)
-    matching.match_job(MATCH, source, person, output, history, RUN_DATE)
-    return matching.match_job(MATCH, source, person, output, history, date(2024, 3, 1))
+    index = _index(person)
+    matching.match_job(MATCH, source, person, output, history, RUN_DATE, index)
+    return matching.match_job(MATCH, source, person, output, history, date(2024, 3, 1), index)
 
 
 # --- audit ------------------------------------------------------------------------------------

@@ -313,3 +313,13 @@ def test_records_without_a_usable_rule(spark, rows):
     index = session.stage_table(matching.person_index(config, rows(PERSON, ("P1", "V1", "a", "b", "NY", "1", "e"))), "index")
     found = matching.match_candidates(config, rows(SOURCE, (1, "a", "b", "NY", "1", "e")), index)
     assert [tuple(r) for r in found.collect()] == [(1, None, None)]
+
+
+def test_both_runs_of_the_job_share_one_index(spark, monkeypatch):
+    from checks.queries import QUERIES
+
+    made = []
+    person_index = matching.person_index
+    monkeypatch.setattr(matching, "person_index", lambda *a, **k: made.append(a) or person_index(*a, **k))
+    assert QUERIES["match_job"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(made) == 1
